@@ -58,11 +58,21 @@ def customer_base(raw: DataFrame, settings: Settings = SETTINGS, return_scope: s
     return materialize(splits.stratified_split(strata, share=settings.train_share, seed=settings.seed))
 
 
-def prepare(raw: DataFrame, settings: Settings = SETTINGS, return_scope: str = "history") -> Prepared:
-    """From raw transactions to the assembled feature table. All statistics come from train rows."""
+def prepare(
+    raw: DataFrame,
+    settings: Settings = SETTINGS,
+    return_scope: str = "history",
+    purchases: btyd.PurchaseParams | None = None,
+    values: btyd.ValueParams | None = None,
+) -> Prepared:
+    """From raw transactions to the assembled feature table. All statistics come from train rows.
+
+    Parameters of an earlier fit can be given and are then not fitted again.
+    """
     base = customer_base(raw, settings, return_scope)
     train = base.filter("split = 'train'")
-    purchases, values = btyd.fit_purchases(train), btyd.fit_values(train)
+    purchases = purchases or btyd.fit_purchases(train)
+    values = values or btyd.fit_values(train)
     limits = caps.fit_caps(base, settings.cap_quantile)
     ranked = ranking.train_percentile(base)
     estimated = btyd.add_estimates(ranked, purchases, values, settings.horizon_days)
