@@ -33,11 +33,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters at which the probabilistic operators are compared with SQL.
 PURCHASES = btyd.PurchaseParams(r=0.8, alpha=150.0, a=0.9, b=2.5)
-VALUES = btyd.ValueParams(p=2.0, q=3.0, v=60000.0, global_mean=150000.0)
+VALUES = btyd.ValueParams(p=2.1, q=3.3, v=60000.0, global_mean=150000.0)
 
 # The order tables hold amounts far above the published clip and segment limits.
 WIDE = replace(SETTINGS, log_pred_max=16.0, segment_low=50000.0, segment_high=150000.0, min_dollar_r2=-1000.0)
-TREES = 0.02
+TREES = 0.01
 
 EVENT_HORIZON = 7
 
@@ -113,8 +113,7 @@ def _path(spark: SparkSession, name: str) -> str:
 
 
 def clean_transactions(spark, sf_dir):
-    rows = cleaning.clean(transactions.untidy_orders_as_transactions(spark, sf_dir))
-    return _round(rows, 6, "Price", "TotalAmount")
+    return cleaning.clean(transactions.untidy_orders_as_transactions(spark, sf_dir))
 
 
 def cleaning_audit(spark, sf_dir):
@@ -233,14 +232,14 @@ def history_customers(spark, sf_dir):
 def rfm_summary(spark, sf_dir):
     rows, split_ts = _clean(spark, sf_dir)
     summary = features.rfm(features.days(features.history(rows, split_ts)), split_ts)
-    return _round(summary.select("customer_id", "Recency", "Frequency", "Monetary", "T"), 4, "Monetary")
+    return summary.select("customer_id", "Recency", "Frequency", "Monetary", "T")
 
 
 def rfm_with_target(spark, sf_dir):
     out = _spend(spark, sf_dir).select(
         "customer_id", "Recency", "Frequency", "Monetary", "T", "Next_3M_Spend", "log_target"
     )
-    return _round(_round(out, 4, "Monetary", "Next_3M_Spend"), 9, "log_target")
+    return _round(out, 9, "log_target")
 
 
 def interpurchase_std(spark, sf_dir):
@@ -278,8 +277,7 @@ def avg_basket(spark, sf_dir):
 
 def max_single_order(spark, sf_dir):
     rows, split_ts = _clean(spark, sf_dir)
-    out = features.baskets(features.history(rows, split_ts)).select("customer_id", "Max_Single_Order")
-    return _round(out, 4, "Max_Single_Order")
+    return features.baskets(features.history(rows, split_ts)).select("customer_id", "Max_Single_Order")
 
 
 def return_rate(spark, sf_dir):
@@ -296,7 +294,6 @@ def behavior_features(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     rows = materialize(cleaning.clean(raw))
     out = features.behaviour(rows, training.literal_split(rows, SETTINGS.horizon_days), raw)
-    out = _round(out, 4, "Monetary", "Max_Single_Order", "Next_3M_Spend")
     return _round(
         out,
         6,
@@ -358,7 +355,7 @@ def outlier_caps(spark, sf_dir):
 def capped_features(spark, sf_dir):
     base = _base(spark, sf_dir)
     out = caps.apply_caps(base, caps.fit_caps(base)).select("customer_id", *CAPPED_COLS)
-    return _round(out, 4, "Monetary", "Avg_Basket_Size", "Max_Single_Order")
+    return _round(out, 6, "Monetary", "Avg_Basket_Size", "Max_Single_Order")
 
 
 # -- probabilistic features ------------------------------------------------------------------
@@ -467,7 +464,7 @@ def residual_mean(spark, sf_dir):
 
 
 def predicted_spenders(spark, sf_dir):
-    return evaluation.predicted_spenders(_scored(spark, sf_dir)).select("customer_id", F.round("predicted", 4).alias("predicted"))
+    return evaluation.predicted_spenders(_scored(spark, sf_dir)).select("customer_id", "predicted")
 
 
 def spender_count(spark, sf_dir):
@@ -476,15 +473,14 @@ def spender_count(spark, sf_dir):
 
 def actual_vs_predicted(spark, sf_dir):
     out = evaluation.actual_vs_predicted(_scored(spark, sf_dir))
-    return _round(_round(out, 4, "actual", "predicted"), 8, "log_actual", "log_predicted")
+    return _round(out, 8, "log_actual", "log_predicted")
 
 
 def prediction_preview(spark, sf_dir):
     amount = _rate_value()
     base = _spend(spark, sf_dir)
     filled = scoring.fill_defaults(base, {"Prob_Alive": 0.65})
-    out = scoring.preview(filled.withColumns(scoring.band_columns(amount, WIDE)))
-    return _round(out, 4, "Monetary")
+    return scoring.preview(filled.withColumns(scoring.band_columns(amount, WIDE)))
 
 
 def gain_curve(spark, sf_dir):
@@ -510,17 +506,17 @@ def calibration_curve(spark, sf_dir):
 
 def residual_histogram(spark, sf_dir):
     rounded = _round(evaluation.residuals(_scored(spark, sf_dir)), 9, "residual")
-    return _round(_big(evaluation.histogram(rounded, "residual", 50), "bin"), 7, "left_edge", "density")
+    return _round(_big(evaluation.histogram(rounded, "residual", 50), "bin"), 5, "left_edge", "density")
 
 
 def probability_histogram(spark, sf_dir):
     rows = _scored(spark, sf_dir).withColumn("spends", (F.col("actual") > 0).cast("bigint"))
     out = _big(evaluation.histogram(rows, "prob_spend", 40, by="spends"), "bin")
-    return _round(out, 7, "left_edge", "density")
+    return _round(out, 5, "left_edge", "density")
 
 
 def representative_customers(spark, sf_dir):
-    return _round(evaluation.representatives(_scored(spark, sf_dir)), 4, "actual")
+    return evaluation.representatives(_scored(spark, sf_dir))
 
 
 # -- scoring ---------------------------------------------------------------------------------
@@ -550,8 +546,8 @@ def default_fill(spark, sf_dir):
         F.when(F.col("Frequency") > 0, F.col("Monetary")).alias("Monetary"),
         F.when(F.col("Frequency") > 0, F.col("Recency")).alias("Recency"),
     )
-    out = scoring.fill_defaults(given, {c: q[0] for c, q in medians.items()})
-    return _round(out.select("customer_id", "Monetary", "Recency", "Prob_Alive"), 4, "Monetary")
+    out = scoring.fill_defaults(given, {c: round(q[0], 4) for c, q in medians.items()})
+    return out.select("customer_id", "Monetary", "Recency", "Prob_Alive")
 
 
 # -- model selection over plain predictors ---------------------------------------------------
@@ -653,10 +649,11 @@ def weighted_log_mean(spark, sf_dir):
 
 def feature_table(spark, sf_dir):
     out = _prepared(spark, sf_dir).table.select("customer_id", "split", *FEATURE_COLS, "Next_3M_Spend")
-    out = _round(out, 4, "Monetary", "Max_Single_Order", "Next_3M_Spend", "Prob_Pred_Val")
     return _round(
-        out,
+        _round(out, 4, "Prob_Pred_Val"),
         6,
+        "Monetary",
+        "Max_Single_Order",
         "Prob_Pred_Txn",
         "Prob_Alive",
         "Interpurchase_Std",
@@ -681,7 +678,7 @@ def _hurdle(data: training.Prepared):
 
 def train_leaderboard(spark, sf_dir):
     data = _prepared(spark, sf_dir)
-    return selection.benchmark(data.train, data.test, size=TREES, settings=WIDE, parallelism=4).board
+    return selection.benchmark(data.train, data.test, size=TREES, settings=WIDE, parallelism=8).board
 
 
 def hurdle_predict(spark, sf_dir):
@@ -700,7 +697,7 @@ def grid_tuning(spark, sf_dir):
     train = data.train
     name = "Ridge (L2)"
     model = _candidates(train.count(), name)[name]
-    _, _, scores = selection.tune(name, model, train, settings=WIDE, parallelism=4)
+    _, _, scores = selection.tune(name, model, train, settings=WIDE, parallelism=8)
     rows = [(", ".join(f"{k}={v:.6g}" for k, v in p.items()), mae) for p, mae in scores]
     return spark.createDataFrame(rows, "params string, cv_mae double")
 

@@ -255,13 +255,16 @@ def _sql(select: str, source: str = _TIDY, horizon: int = 90) -> str:
     return f"WITH {steps}\n{select}"
 
 
-_SEGMENTS = """SELECT unnest(list_filter([
-    CASE WHEN actual >= p80 THEN 'Top 20% Spenders' END,
-    CASE WHEN actual > p20 AND actual < p80 THEN 'Mid Spenders' END,
-    CASE WHEN actual > 0 AND actual <= p20 THEN 'Low Spenders' END,
-    CASE WHEN actual = 0 THEN 'Zero-Spend (Churned)' END,
-    'All Customers'], x -> x IS NOT NULL)) AS Segment, actual, predicted
-    FROM scored, thresholds WHERE split = 'test'"""
+_SEGMENTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS Segment, actual, predicted FROM scored, thresholds WHERE split = 'test' AND {rule}"
+    for name, rule in {
+        "Top 20% Spenders": "actual >= p80",
+        "Mid Spenders": "actual > p20 AND actual < p80",
+        "Low Spenders": "actual > 0 AND actual <= p20",
+        "Zero-Spend (Churned)": "actual = 0",
+        "All Customers": "true",
+    }.items()
+)
 
 _SEGMENT_METRICS = f"""SELECT Segment, count(*) AS N, {_metrics('actual', 'predicted', ('RMSE', 'MAE', 'R2'), '', 4)},
     round(CASE WHEN sum(abs(actual)) > 0 THEN sum(abs(actual - predicted)) / sum(abs(actual)) * 100 END, 4) AS "WAPE%",
@@ -280,8 +283,8 @@ def _histogram(rows: str, bins: int, by: str | None) -> str:
     h_counts AS (SELECT g, least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1}) AS b, count(*) AS n
                  FROM h_rows JOIN h_bounds ON g = {group} GROUP BY ALL),
     h_frame AS (SELECT *, unnest(range({bins})) AS bin FROM h_bounds)
-    SELECT {'h_frame.g AS ' + by + ',' if by else ''} bin, round(lo + bin * ((hi - lo) / {bins}), 7) AS left_edge,
-           coalesce(n, 0) AS n, round(coalesce(n, 0) / (total * ((hi - lo) / {bins})), 7) AS density
+    SELECT {'h_frame.g AS ' + by + ',' if by else ''} bin, round(lo + bin * ((hi - lo) / {bins}), 5) AS left_edge,
+           coalesce(n, 0) AS n, round(coalesce(n, 0) / (total * ((hi - lo) / {bins})), 5) AS density
     FROM h_frame LEFT JOIN h_counts ON h_frame.g = h_counts.g AND bin = b"""
 
 
@@ -292,10 +295,12 @@ def _per_group(key: str, alias: str) -> str:
 
 # 2F1 as its power series; every factor is positive at these parameters and z < 0.4.
 _PURCHASES = f"""SELECT customer_id, round(({A} + {B} + Frequency - 1) / ({A} - 1)
-      * (1 - pow(({ALPHA} + T) / ({ALPHA} + T + 90), {R} + Frequency) * list_sum(list_transform(range(0, 400), n ->
+      * (1 - pow(({ALPHA} + T) / ({ALPHA} + T + 90), {R} + Frequency) * f) * p_alive, {{digits}}) AS Prob_Pred_Txn
+      FROM alive JOIN (SELECT customer_id, sum(
           exp(lgamma({R} + Frequency + n) - lgamma({R} + Frequency) + lgamma({B} + Frequency + n) - lgamma({B} + Frequency)
               - lgamma({A} + {B} + Frequency - 1 + n) + lgamma({A} + {B} + Frequency - 1) - lgamma(n + CAST(1 AS DOUBLE))
-              + n * ln(90 / ({ALPHA} + T + 90)))))) * p_alive, {{digits}}) AS Prob_Pred_Txn FROM alive"""
+              + n * ln(90 / ({ALPHA} + T + 90)))) AS f FROM alive, range(0, 400) AS terms(n) GROUP BY customer_id)
+      USING (customer_id)"""
 
 _GLOBAL = "(SELECT avg(Monetary) FROM alive WHERE Frequency > 0 AND Monetary > 0)"
 _VALUE = f"""CASE WHEN Frequency > 0 THEN {P} * ({V} + Monetary * Frequency) / ({P} * Frequency + {Q} - 1)
@@ -327,8 +332,7 @@ def statements() -> dict[str, str]:
     hurdle_amount = f"""prob_spend * (exp(least(greatest(ln(1 + predicted), CAST(0 AS DOUBLE)), CAST({WIDE.log_pred_max} AS DOUBLE))) - 1)"""
     return {
         "clean_transactions": _sql(
-            """SELECT Invoice, StockCode, Quantity, InvoiceDate, round(Price, 6) AS Price, customer_id,
-                      round(TotalAmount, 6) AS TotalAmount FROM clean""",
+            """SELECT * FROM clean""",
             _UNTIDY,
         ),
         "cleaning_audit": _sql(
@@ -371,11 +375,11 @@ def statements() -> dict[str, str]:
         ),
         "history_customers": _sql("SELECT DISTINCT customer_id FROM hist"),
         "rfm_summary": _sql(
-            "SELECT customer_id, Recency, Frequency, round(Monetary, 4) AS Monetary, T FROM rfm"
+            "SELECT customer_id, Recency, Frequency, Monetary, T FROM rfm"
         ),
         "rfm_with_target": _sql(
-            """SELECT customer_id, Recency, Frequency, round(Monetary, 4) AS Monetary, T,
-                      round(Next_3M_Spend, 4) AS Next_3M_Spend, round(log_target, 9) AS log_target FROM spend"""
+            """SELECT customer_id, Recency, Frequency, Monetary, T,
+                      Next_3M_Spend, round(log_target, 9) AS log_target FROM spend"""
         ),
         "interpurchase_std": _sql(
             "SELECT customer_id, round(Interpurchase_Std, 6) AS Interpurchase_Std FROM gap_std"
@@ -389,7 +393,7 @@ def statements() -> dict[str, str]:
         "unique_products": _sql("SELECT * FROM products"),
         "visit_diversity": _sql("SELECT customer_id, Visit_Diversity FROM rfm"),
         "avg_basket": _sql("SELECT customer_id, round(Avg_Basket_Size, 6) AS Avg_Basket_Size FROM baskets"),
-        "max_single_order": _sql("SELECT customer_id, round(Max_Single_Order, 4) AS Max_Single_Order FROM baskets"),
+        "max_single_order": _sql("SELECT customer_id, Max_Single_Order FROM baskets"),
         "return_rate": _sql("SELECT customer_id, round(Return_Rate, 9) AS Return_Rate FROM returns"),
         "return_rate_all": _sql(
             """SELECT customer_id, round(CAST(count(DISTINCT CASE WHEN Quantity < 0 THEN Invoice END) AS DOUBLE)
@@ -397,11 +401,11 @@ def statements() -> dict[str, str]:
                FROM raw_ids WHERE customer_id IS NOT NULL GROUP BY customer_id"""
         ),
         "behavior_features": _sql(
-            """SELECT customer_id, Recency, Frequency, round(Monetary, 4) AS Monetary, T, Visit_Diversity,
-                      round(Next_3M_Spend, 4) AS Next_3M_Spend, round(log_target, 6) AS log_target,
+            """SELECT customer_id, Recency, Frequency, Monetary, T, Visit_Diversity,
+                      Next_3M_Spend, round(log_target, 6) AS log_target,
                       round(Purchase_Rate, 6) AS Purchase_Rate, Days_Since_Purchase,
                       round(Revenue_Per_Day, 6) AS Revenue_Per_Day, round(Interpurchase_Std, 6) AS Interpurchase_Std,
-                      round(Avg_Basket_Size, 6) AS Avg_Basket_Size, round(Max_Single_Order, 4) AS Max_Single_Order,
+                      round(Avg_Basket_Size, 6) AS Avg_Basket_Size, Max_Single_Order,
                       Unique_Products, round(Return_Rate, 6) AS Return_Rate FROM behaviour"""
         ),
         "spend_strata": _sql("SELECT customer_id, stratum FROM strata"),
@@ -432,8 +436,8 @@ def statements() -> dict[str, str]:
         ),
         "capped_features": _sql(
             """SELECT customer_id, round_even(least(Frequency, f), 0) AS Frequency,
-                      round(least(Monetary, m), 4) AS Monetary, round(least(Avg_Basket_Size, b), 4) AS Avg_Basket_Size,
-                      round(least(Max_Single_Order, o), 4) AS Max_Single_Order
+                      round(least(Monetary, m), 6) AS Monetary, round(least(Avg_Basket_Size, b), 6) AS Avg_Basket_Size,
+                      round(least(Max_Single_Order, o), 6) AS Max_Single_Order
                FROM split JOIN baskets USING (customer_id), caps"""
         ),
         "prob_alive_fixed": _sql("SELECT customer_id, round(p_alive, 9) AS Prob_Alive FROM alive"),
@@ -482,7 +486,7 @@ def statements() -> dict[str, str]:
         ),
         "residual_mean": _sql("SELECT round(avg(log_actual - log_predicted), 8) AS mean_residual FROM scored"),
         "predicted_spenders": _sql(
-            """SELECT customer_id, round(predicted, 4) AS predicted FROM scored
+            """SELECT customer_id, predicted FROM scored
                WHERE predicted > 0 OR (SELECT count(*) FROM scored WHERE predicted > 0) <= 20"""
         ),
         "spender_count": _sql(
@@ -491,11 +495,11 @@ def statements() -> dict[str, str]:
                       count(*) FILTER (WHERE prob_spend >= CAST(0.9 AS DOUBLE)) AS predicted_spenders FROM scored"""
         ),
         "actual_vs_predicted": _sql(
-            """SELECT customer_id, round(actual, 4) AS actual, round(predicted, 4) AS predicted,
+            """SELECT customer_id, actual, predicted,
                       round(log_actual, 8) AS log_actual, round(log_predicted, 8) AS log_predicted FROM scored"""
         ),
         "prediction_preview": _sql(
-            f"""SELECT customer_id, Recency, Frequency, round(Monetary, 4) AS Monetary,
+            f"""SELECT customer_id, Recency, Frequency, Monetary,
                        CAST(0 AS DOUBLE) AS Prob_Pred_Txn, CAST(0 AS DOUBLE) AS Prob_Pred_Val,
                        round_even(amount, 2) AS CLV_Predicted_90d,
                        round_even(greatest(amount * (1 - CAST({WIDE.band} AS DOUBLE)), CAST(0 AS DOUBLE)), 2) AS CLV_Low,
@@ -530,7 +534,7 @@ def statements() -> dict[str, str]:
             _histogram("SELECT prob_spend AS v, CAST(actual > 0 AS BIGINT) AS spends FROM scored", 40, "spends")
         ),
         "representative_customers": _sql(
-            """SELECT profile, customer_id, round(actual, 4) AS actual FROM (
+            """SELECT profile, customer_id, actual FROM (
                  SELECT 'whale' AS profile, customer_id, actual, row_number() OVER (ORDER BY actual DESC, customer_id) AS k
                  FROM scored WHERE actual > 0
                  UNION ALL SELECT 'low', customer_id, actual, row_number() OVER (ORDER BY actual, customer_id)
@@ -546,8 +550,8 @@ def statements() -> dict[str, str]:
         "fixed_segments": _sql(f"SELECT customer_id, {_segment('predicted')} AS Segment FROM scored"),
         "score_band": _sql("SELECT * FROM bands"),
         "default_fill": _sql(
-            """SELECT customer_id, round(CASE WHEN Frequency > 0 THEN Monetary ELSE m END, 4) AS Monetary,
-                      CASE WHEN Frequency > 0 THEN Recency ELSE r END AS Recency, CAST(0 AS DOUBLE) AS Prob_Alive
+            """SELECT customer_id, CASE WHEN Frequency > 0 THEN Monetary ELSE round(m, 4) END AS Monetary,
+                      CASE WHEN Frequency > 0 THEN Recency ELSE round(r, 4) END AS Recency, CAST(0 AS DOUBLE) AS Prob_Alive
                FROM split, (SELECT quantile_cont(Monetary, CAST(0.5 AS DOUBLE)) AS m,
                                    quantile_cont(Recency, CAST(0.5 AS DOUBLE)) AS r FROM split WHERE split = 'train')"""
         ),
@@ -584,15 +588,15 @@ def statements() -> dict[str, str]:
         ),
         "feature_table": _sql(
             f"""SELECT customer_id, split, Recency, round_even(least(Frequency, f), 0) AS Frequency,
-                       round(least(Monetary, m), 4) AS Monetary, round(txn.Prob_Pred_Txn, 6) AS Prob_Pred_Txn,
+                       round(least(Monetary, m), 6) AS Monetary, round(txn.Prob_Pred_Txn, 6) AS Prob_Pred_Txn,
                        round({_VALUE.format(mean='CAST(' + str(VALUES.global_mean) + ' AS DOUBLE)')}, 4) AS Prob_Pred_Val,
                        round(p_alive, 6) AS Prob_Alive, round(Interpurchase_Std, 6) AS Interpurchase_Std,
                        round(Purchase_Rate, 6) AS Purchase_Rate, Days_Since_Purchase,
                        round(Revenue_Per_Day, 6) AS Revenue_Per_Day, Unique_Products, Visit_Diversity,
                        round(least(behaviour.Avg_Basket_Size, b), 6) AS Avg_Basket_Size, round(Return_Rate, 6) AS Return_Rate,
                        round(Monetary_Percentile, 6) AS Monetary_Percentile,
-                       round(least(behaviour.Max_Single_Order, o), 4) AS Max_Single_Order,
-                       round(Next_3M_Spend, 4) AS Next_3M_Spend
+                       round(least(behaviour.Max_Single_Order, o), 6) AS Max_Single_Order,
+                       Next_3M_Spend
                 FROM alive JOIN (SELECT customer_id, Interpurchase_Std, Avg_Basket_Size, Max_Single_Order,
                                         Unique_Products, Return_Rate FROM behaviour) behaviour USING (customer_id)
                 JOIN (SELECT customer_id, Monetary_Percentile FROM percentiles) USING (customer_id)
