@@ -64,7 +64,7 @@ def _boost(kind, rounds: int, depth: int, leaf: int, seed: int, sample: float =
 def build(
     n_train: int, size: float = 1.0, seed: int = SETTINGS.seed, log_max: float = SETTINGS.log_pred_max
 ) -> dict[str, Estimator | Transformer]:
-    """All fourteen candidates, by name."""
+    """The thirteen candidates that are fitted on their own, by name; the ensemble is the fourteenth."""
     few, many = _rounds(300, size), _rounds(500, size)
 
     def hurdle(classifier, regressor, balance):
