@@ -86,7 +86,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> Da
     )
     position = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
     counted = (
-        keyed.join(F.broadcast(bounds), F.col("_by").eqNullSafe(F.col("_g")))
+        keyed.join(bounds, F.col("_by").eqNullSafe(F.col("_g")))
         .select("_g", F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .groupBy("_g", "bin")
         .agg(F.count("*").alias("n"))

@@ -86,16 +86,18 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return {r["feature"]: list(r["q"]) for r in exact_quantiles(df, columns, probs).collect()}
 
 
-def join_on_value(df: DataFrame, lookup: DataFrame, key: str, weight: str, spread_by: str) -> DataFrame:
+def join_on_value(
+    df: DataFrame, lookup: DataFrame, key: str, weight: str, total: str, spread_by: str
+) -> DataFrame:
     """Left join of a per-value ``lookup`` where some values may own a large share of ``df``.
 
-    ``lookup`` has one row per value with its row count ``weight``. At most ``HEAVY_SHARE`` values
-    can own 1/HEAVY_SHARE of the rows each, so that part is broadcast. Rows found there get a
-    salted key that matches nothing and spreads them evenly over the shuffle of the others.
+    ``lookup`` has one row per value with its row count ``weight`` and the ``total`` of all counts.
+    At most ``HEAVY_SHARE`` values can own 1/HEAVY_SHARE of the rows each, so that part is
+    broadcast. Rows found there get a salted key that matches nothing and spreads them evenly over
+    the shuffle of the others.
     """
-    fields = [c for c in lookup.columns if c not in (key, weight)]
-    total = lookup.agg(F.sum(weight).alias("n")).scalar()
-    is_heavy = F.col(weight) * HEAVY_SHARE >= total
+    fields = [c for c in lookup.columns if c not in (key, weight, total)]
+    is_heavy = F.col(weight) * HEAVY_SHARE >= F.col(total)
     heavy = lookup.filter(is_heavy).select(
         F.col(key).alias("_heavy_key"), F.struct(*fields).alias("_heavy"), F.lit(True).alias("_is_heavy")
     )
@@ -124,14 +126,15 @@ def train_percentile(
     """
     is_train = (F.col("split") == "train").cast("bigint")
     counted = base.groupBy(value).agg(F.sum(is_train).alias("n_train"), F.count("*").alias("n_rows"))
-    ranked = running_totals(counted, [F.col(value)], {"train": F.col("n_train")})
+    ranked = running_totals(counted, [F.col(value)], {"train": F.col("n_train"), "rows": F.col("n_rows")})
     lookup = ranked.select(
         value,
         "n_rows",
+        "rows_total",
         ((F.col("train_cum") - (F.col("n_train") - 1) / 2) / F.col("train_total")).alias("_rank_train"),
         (F.col("train_cum") / F.col("train_total")).alias("_rank_other"),
     )
-    joined = join_on_value(base, lookup, value, "n_rows", key)
+    joined = join_on_value(base, lookup, value, "n_rows", "rows_total", key)
     picked = F.when(F.col("split") == "train", F.col("_rank_train")).otherwise(F.col("_rank_other"))
     return joined.withColumn(out, picked).drop("_rank_train", "_rank_other")
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.config import SETTINGS, Settings
+from spendcast.config import FEATURE_COLS, SETTINGS, Settings
 from spendcast.models.hurdle import HurdleModel
 from spendcast.models.selection import Benchmark, benchmark, tune
 from spendcast.models import zoo
@@ -16,6 +17,7 @@ from spendcast.operators.cleaning import clean
 from spendcast.operators.metrics import metric_bundle
 from spendcast.operators.scoring import assemble, fit_defaults
 from spendcast.session import materialize
+from spendcast.sources import tables
 
 
 @dataclass(frozen=True)
@@ -110,7 +112,7 @@ def report(
     scored = materialize(scored_frame(model, data.test, settings))
     spark = scored.sparkSession
     curve = ranking.gain_curve(scored)
-    tables = {
+    parts = {
         "log_metrics": metric_bundle(scored, "log_actual", "log_predicted"),
         "dollar_metrics": metric_bundle(scored, "actual", "predicted"),
         "segments": evaluation.segment_metrics(scored, data.thresholds, min_rows=settings.min_segment_rows),
@@ -122,7 +124,7 @@ def report(
     }
     importances = explain.feature_importance(spark, model)
     if importances.isEmpty():
-        return tables
+        return parts
     chosen = evaluation.representatives(scored)
     cohort = evaluation.predicted_spenders(scored)
     rows = explain.background_rows(data.train, background, settings.seed)
@@ -134,7 +136,7 @@ def report(
     local = materialize(
         explain.local_surrogate(model, few.filter("profile = 'mid'"), moments, samples, seed=settings.seed)
     )
-    tables.update(
+    parts.update(
         importances=evaluation.top_per_stage(importances),
         cohort_attributions=explain.mean_abs(attributions),
         profile_attributions=profiles.join(F.broadcast(chosen), "customer_id"),
@@ -142,23 +144,27 @@ def report(
     )
     if isinstance(model, HurdleModel):
         spends = scored.withColumn("spends", F.col("actual") > 0)
-        tables.update(
+        parts.update(
             calibration=evaluation.calibration_curve(scored),
             probability_histogram=evaluation.histogram(spends, "prob_spend", 40, by="spends"),
             spender_count=evaluation.spender_count(scored, threshold=settings.churn_threshold),
         )
-    return tables
+    return parts
 
 
 def train_champion(
-    raw: DataFrame, settings: Settings = SETTINGS, size: float = 1.0, parallelism: int = 2
-) -> tuple[Prepared, Benchmark, Transformer, dict]:
-    """Prepare, benchmark, tune: returns the data, the benchmark, the tuned model and its parameters."""
-    data = prepare(raw, settings)
+    data: Prepared, names: Sequence[str] | None = None, size: float = 1.0, parallelism: int = 2
+) -> tuple[Benchmark, Transformer, dict]:
+    """Benchmark all candidates (or those in ``names``) and tune the champion.
+
+    Returns the benchmark, the tuned model and the chosen parameters.
+    """
+    settings = data.settings
     train, test = data.train.cache(), data.test.cache()
     try:
-        result = benchmark(train, test, size=size, settings=settings, parallelism=parallelism)
-        candidates = zoo.build(train.count(), size, settings.seed, settings.log_pred_max)
+        zoo_models = zoo.build(train.count(), size, settings.seed, settings.log_pred_max)
+        candidates = {n: m for n, m in zoo_models.items() if names is None or n in names}
+        result = benchmark(train, test, candidates, settings=settings, parallelism=parallelism)
         tuned, chosen, _ = tune(
             result.champion,
             candidates[result.champion],
@@ -171,4 +177,29 @@ def train_champion(
     finally:
         train.unpersist()
         test.unpersist()
-    return data, result, tuned, chosen
+    return result, tuned, chosen
+
+
+def publish(
+    path: str,
+    data: Prepared,
+    result: Benchmark,
+    tuned: Transformer,
+    chosen: dict,
+    tables_of_report: dict[str, DataFrame],
+    experiment: str = "spendcast",
+) -> int:
+    """Write the run log, the segment metrics, the model bundle and the registry entry.
+
+    Returns the champion's version number.
+    """
+    spark = data.table.sparkSession
+    names = ("CV_MAE_Mean", "CV_MAE_Std", "Log_MAE", "Log_R2", "Dollar_MAE", "Dollar_R2", "SMAPE", "WAPE")
+    runs = [(r["Model"], {}, {n.lower(): r[n] for n in names}) for r in result.rows]
+    tables.log_runs(spark, f"{path}/runs", experiment, runs)
+    tables.write_segment_metrics(tables_of_report["segments"], f"{path}/segment_metrics")
+    tables.save_bundle(spark, tuned, f"{path}/bundle", data.defaults)
+    log, dollar = (tables_of_report[t].first() for t in ("log_metrics", "dollar_metrics"))
+    params = {"n_features": len(FEATURE_COLS), "feature_names": FEATURE_COLS, **chosen}
+    final = {"dollar_r2": dollar["R2"], "dollar_mae": dollar["MAE"], "log_r2": log["R2"]}
+    return tables.register_champion(spark, f"{path}/registry", f"{experiment}_champion", result.champion, params, final)
