@@ -93,8 +93,8 @@ def join_on_value(
 
     ``lookup`` has one row per value with its row count ``weight`` and the ``total`` of all counts.
     At most ``HEAVY_SHARE`` values can own 1/HEAVY_SHARE of the rows each, so that part is
-    broadcast. Rows found there get a salted key that matches nothing and spreads them evenly over
-    the shuffle of the others.
+    broadcast. Rows found there match nothing in the other part and are spread evenly over its
+    shuffle.
     """
     fields = [c for c in lookup.columns if c not in (key, weight, total)]
     is_heavy = F.col(weight) * HEAVY_SHARE >= F.col(total)
@@ -102,14 +102,15 @@ def join_on_value(
         F.col(key).alias("_heavy_key"), F.struct(*fields).alias("_heavy"), F.lit(True).alias("_is_heavy")
     )
     light = lookup.filter(~is_heavy).select(
-        F.col(key).alias("_light_key"), F.lit(0).cast("bigint").alias("_light_salt"), F.struct(*fields).alias("_light")
+        F.col(key).alias("_light_key"), F.xxhash64(key).alias("_light_part"), F.struct(*fields).alias("_light")
     )
+    # The second key follows from the first, except for heavy rows: there it follows from the row.
+    # A constant salt would be folded away and leave one partition with all rows of a value.
     marked = df.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left").withColumn(
-        "_salt",
-        F.when(F.col("_is_heavy"), F.pmod(F.xxhash64(spread_by), F.lit(1 << 20)) + 1).otherwise(F.lit(0)),
+        "_part", F.when(F.col("_is_heavy"), F.xxhash64(spread_by)).otherwise(F.xxhash64(key))
     )
     joined = marked.join(
-        light, (F.col(key) == F.col("_light_key")) & (F.col("_salt") == F.col("_light_salt")), "left"
+        light, (F.col(key) == F.col("_light_key")) & (F.col("_part") == F.col("_light_part")), "left"
     )
     return joined.select(
         *df.columns, *[F.coalesce(F.col(f"_heavy.{c}"), F.col(f"_light.{c}")).alias(c) for c in fields]

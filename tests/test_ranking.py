@@ -89,3 +89,19 @@ def test_folds_are_balanced_per_class(spark):
     folded = splits.stratified_folds(df.withColumn("z", F.col("Monetary") > 0), "z", 5)
     for r in folded.groupBy("z").pivot("fold", list(range(5))).count().collect():
         assert max(r[1:]) - min(r[1:]) <= 1
+
+
+def test_a_heavy_value_is_spread_over_the_shuffle(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    rows = [(f"c{i}", 0.0 if i % 2 else float(i), "train") for i in range(4000)]
+    df = spark.createDataFrame(rows, "customer_id string, Monetary double, split string")
+    for name, value in zip(names, ("-1", "16", "false")):
+        spark.conf.set(name, value)
+    try:
+        out = ranking.train_percentile(df).withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("p").count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 4000 and max(sizes) < 600
