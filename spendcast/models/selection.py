@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from spendcast.config import SETTINGS, Settings
 from spendcast.models import zoo
 from spendcast.models.ensemble import EnsembleModel, predict_columns
+from spendcast.models.hurdle import HurdleRegressor
 from spendcast.operators import leaderboard as board_ops
 from spendcast.operators.metrics import dual_scale_metrics
 from spendcast.operators.splits import fold_count, stratified_folds
@@ -43,6 +44,23 @@ def _fit(model: Estimator | Transformer, rows: DataFrame, params: Mapping | None
     return model.fit(rows, dict(params or {})) if isinstance(model, Estimator) else model
 
 
+def _fold_mae(
+    model: Estimator | Transformer, train: DataFrame, fold: int, params: Mapping | None = None, label: str = zoo.LABEL
+) -> float:
+    fitted = _fit(model, train.filter(F.col("fold") != fold), params)
+    held = fitted.transform(train.filter(F.col("fold") == fold))
+    return held.agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")).first()["mae"]
+
+
+def _in_threads(work, tasks: Sequence, df: DataFrame, parallelism: int) -> list:
+    """Run independent fits side by side; Spark runs their jobs concurrently."""
+    pool = ThreadPool(max(1, min(parallelism, len(tasks))))
+    try:
+        return pool.map(inheritable_thread_target(df.sparkSession)(work), tasks, chunksize=1)
+    finally:
+        pool.close()
+
+
 def with_folds(train: DataFrame, folds: int, label: str = zoo.LABEL, seed: int = SETTINGS.seed) -> DataFrame:
     flagged = train.withColumn("_spends", F.col(label) > 0)
     return stratified_folds(flagged, "_spends", folds, seed=seed).drop("_spends")
@@ -60,19 +78,10 @@ def cross_validate(
 
     ``train`` needs a ``fold`` column and should be cached. Folds are plain filters.
     """
-
-    def one(task: tuple[int, int]) -> tuple[int, float]:
-        which, fold = task
-        fitted = _fit(model, train.filter(F.col("fold") != fold), params[which])
-        held = fitted.transform(train.filter(F.col("fold") == fold))
-        return which, held.agg(F.avg(F.abs(F.col(label) - F.col("prediction"))).alias("mae")).first()["mae"]
-
     tasks = [(i, k) for i in range(len(params)) for k in range(folds)]
-    pool = ThreadPool(max(1, min(parallelism, len(tasks))))
-    try:
-        scores = pool.map(inheritable_thread_target(train.sparkSession)(one), tasks)
-    finally:
-        pool.close()
+    scores = _in_threads(
+        lambda task: (task[0], _fold_mae(model, train, task[1], params[task[0]], label)), tasks, train, parallelism
+    )
     maes = [[s for which, s in scores if which == i] for i in range(len(params))]
     return [(float(np.mean(m)), float(np.std(m))) for m in maes]
 
@@ -120,14 +129,28 @@ def benchmark(
         candidates = zoo.build(n, size, settings.seed, settings.log_pred_max)
     fitted: dict[str, Transformer] = {}
     scores: dict[str, tuple[float, float]] = {}
+
+    def one(task: tuple[str, int | None]):
+        name, fold = task
+        try:
+            model = candidates[name]
+            return task, _fit(model, folded) if fold is None else _fold_mae(model, folded, fold)
+        except Exception as error:
+            return task, error
+
     try:
-        for name, model in candidates.items():
-            try:
-                scores[name] = cross_validate(model, folded, folds, parallelism=parallelism)[0]
-                fitted[name] = _fit(model, folded)
-            except Exception as error:
-                logger.warning("model %s failed: %s", name, error, exc_info=True)
-                scores.pop(name, None)
+        # two-stage models take longest and start first
+        names = sorted(candidates, key=lambda n: not isinstance(candidates[n], HurdleRegressor))
+        outcome = dict(_in_threads(one, [(n, k) for n in names for k in (None, *range(folds))], folded, parallelism))
+        for name in candidates:
+            results = {k: outcome[name, k] for k in (None, *range(folds))}
+            errors = [r for r in results.values() if isinstance(r, Exception)]
+            if errors:
+                logger.warning("model %s failed: %s", name, errors[0])
+                continue
+            maes = [results[k] for k in range(folds)]
+            scores[name] = float(np.mean(maes)), float(np.std(maes))
+            fitted[name] = results[None]
         if not fitted:
             raise RuntimeError("all models failed")
         rows = [

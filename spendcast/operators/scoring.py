@@ -65,12 +65,16 @@ def assemble(df: DataFrame) -> DataFrame:
 
 
 def score(model: Model, df: DataFrame, defaults: Mapping[str, float], settings: Settings = SETTINGS) -> DataFrame:
-    """Score customers: the input with prediction, band and segment appended. No shuffle."""
-    predicted = model.transform(assemble(fill_defaults(df, defaults)))
+    """Score customers: the input as given, with prediction, band and segment appended. No shuffle.
+
+    Features that were not given are added with their fill values.
+    """
+    given = df.withColumn("_given", F.struct(*df.columns))
+    predicted = model.transform(assemble(fill_defaults(given, defaults)))
     amount = dollars(F.col("prediction"), settings.log_pred_max)
     appended = band_columns(amount, settings)
-    kept = [*df.columns, *[c for c in FEATURE_COLS if c not in df.columns]]
-    return predicted.withColumns(appended).select(*kept, *appended)
+    added = [c for c in FEATURE_COLS if c not in df.columns]
+    return predicted.withColumns(appended).select("_given.*", *added, *appended)
 
 
 def preview(scored: DataFrame, rows: int = 50, key: str = "customer_id") -> DataFrame:

@@ -15,7 +15,7 @@ from spendcast.models import zoo
 from spendcast.operators import btyd, caps, evaluation, explain, features, ranking, splits
 from spendcast.operators.cleaning import clean
 from spendcast.operators.metrics import metric_bundle
-from spendcast.operators.scoring import assemble, fit_defaults
+from spendcast.operators.scoring import assemble
 from spendcast.session import materialize
 from spendcast.sources import tables
 
@@ -79,10 +79,14 @@ def prepare(
     ranked = ranking.train_percentile(base)
     estimated = btyd.add_estimates(ranked, purchases, values, settings.horizon_days)
     table = materialize(assemble(caps.apply_caps(estimated, limits)))
-    train = table.filter("split = 'train'")
-    return Prepared(
-        table, evaluation.segment_thresholds(train), fit_defaults(train), limits, purchases, values, settings
+    # Segment limits and fill values are train quantiles, from one pass.
+    train = table.filter("split = 'train'").withColumn(
+        "_positive", F.when(F.col("Next_3M_Spend") > 0, F.col("Next_3M_Spend"))
     )
+    found = ranking.quantile_values(train, [*FEATURE_COLS, "_positive"], [0.2, 0.5, 0.8])
+    low, _, high = found.get("_positive", [0.0, 0.0, 0.0])
+    defaults = {c: found.get(c, [0.0, 0.0, 0.0])[1] for c in FEATURE_COLS}
+    return Prepared(table, (low, high), defaults, limits, purchases, values, settings)
 
 
 def scored_frame(model: Transformer, rows: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
