@@ -65,6 +65,7 @@ def build(
     n_train: int, size: float = 1.0, seed: int = SETTINGS.seed, log_max: float = SETTINGS.log_pred_max
 ) -> dict[str, Estimator | Transformer]:
     """The thirteen candidates that are fitted on their own, by name; the ensemble is the fourteenth."""
+    # Fixed values below: the published sizes, depths, leaf sizes, rates and penalties.
     few, many = _rounds(300, size), _rounds(500, size)
 
     def hurdle(classifier, regressor, balance):
@@ -104,51 +105,73 @@ def build(
     }
 
 
+# The published tuning grids under Spark's parameter names. Leaf counts are given as
+# depths and column sampling as the feature subset; settings without a counterpart are left out.
+GRIDS: dict[str, dict[str, list]] = {
+    "Random Forest": {
+        "numTrees": [300, 500],
+        "maxDepth": [6, 8, 10],
+        "minInstancesPerNode": [8, 12, 15],
+        "featureSubsetStrategy": ["0.6", "0.7", "0.8"],
+    },
+    "XGBoost": {
+        "maxIter": [300, 500],
+        "stepSize": [0.03, 0.05, 0.08],
+        "maxDepth": [3, 4, 5],
+        "minInstancesPerNode": [8, 12, 15],
+        "subsamplingRate": [0.7, 0.8],
+        "featureSubsetStrategy": ["0.7", "0.8"],
+    },
+    "LightGBM": {
+        "maxIter": [300, 500],
+        "stepSize": [0.03, 0.05],
+        "maxDepth": [4, 5, 6],
+        "minInstancesPerNode": [15, 25, 40],
+        "subsamplingRate": [0.7, 0.8],
+    },
+    "CatBoost": {"maxIter": [300, 500], "stepSize": [0.03, 0.05], "maxDepth": [4, 6, 8]},
+    "Two-Stage (Random Forest)": {
+        "classifier.numTrees": [300, 500],
+        "classifier.maxDepth": [4, 6],
+        "regressor.numTrees": [300, 500],
+        "regressor.maxDepth": [6, 8],
+        "regressor.minInstancesPerNode": [6, 10],
+    },
+    "Two-Stage (XGBoost)": {
+        "classifier.maxIter": [300, 500],
+        "classifier.maxDepth": [3, 4],
+        "regressor.maxIter": [300, 500],
+        "regressor.stepSize": [0.03, 0.05],
+        "regressor.minInstancesPerNode": [6, 10],
+    },
+    "Two-Stage (LightGBM)": {
+        "classifier.maxIter": [300, 500],
+        "classifier.maxDepth": [4, 5],
+        "regressor.maxIter": [300, 500],
+        "regressor.minInstancesPerNode": [15, 25],
+    },
+    "Two-Stage (CatBoost)": {
+        "classifier.maxIter": [200, 300],
+        "classifier.maxDepth": [3, 4],
+        "regressor.maxIter": [300, 500],
+        "regressor.maxDepth": [4, 6],
+    },
+    "ElasticNet": {"regParam": [0.01, 0.05, 0.1, 0.5], "elasticNetParam": [0.2, 0.5, 0.8]},
+    "Ridge (L2)": {"regParam": [1.0, 5.0, 10.0, 50.0]},
+}
+
+
 def grid(name: str, model: Estimator, n_train: int, size: float = 1.0) -> list[dict]:
-    """The tuning grid of a model; empty where none is published.
-
-    Leaf counts map to depths and column sampling to the feature subset; settings of other
-    libraries without a counterpart are left out.
-    """
-
-    def rounds(*values: int) -> list[int]:
-        return sorted({_rounds(v, size) for v in values})
-
-    b = ParamGridBuilder()
-    if name == "Random Forest":
-        b.addGrid(model.numTrees, rounds(300, 500)).addGrid(model.maxDepth, [6, 8, 10])
-        b.addGrid(model.minInstancesPerNode, [8, 12, 15]).addGrid(model.featureSubsetStrategy, ["0.6", "0.7", "0.8"])
-    elif name == "XGBoost":
-        b.addGrid(model.maxIter, rounds(300, 500)).addGrid(model.stepSize, [0.03, 0.05, 0.08])
-        b.addGrid(model.maxDepth, [3, 4, 5]).addGrid(model.minInstancesPerNode, [8, 12, 15])
-        b.addGrid(model.subsamplingRate, [0.7, 0.8]).addGrid(model.featureSubsetStrategy, ["0.7", "0.8"])
-    elif name == "LightGBM":
-        b.addGrid(model.maxIter, rounds(300, 500)).addGrid(model.stepSize, [0.03, 0.05])
-        b.addGrid(model.maxDepth, [4, 5, 6]).addGrid(model.minInstancesPerNode, [15, 25, 40])
-        b.addGrid(model.subsamplingRate, [0.7, 0.8])
-    elif name == "CatBoost":
-        b.addGrid(model.maxIter, rounds(300, 500)).addGrid(model.stepSize, [0.03, 0.05])
-        b.addGrid(model.maxDepth, [4, 6, 8])
-    elif name == "Two-Stage (Random Forest)":
-        b.addGrid(model.classifier.numTrees, rounds(300, 500)).addGrid(model.classifier.maxDepth, [4, 6])
-        b.addGrid(model.regressor.numTrees, rounds(300, 500)).addGrid(model.regressor.maxDepth, [6, 8])
-        b.addGrid(model.regressor.minInstancesPerNode, [6, 10])
-    elif name == "Two-Stage (XGBoost)":
-        b.addGrid(model.classifier.maxIter, rounds(300, 500)).addGrid(model.classifier.maxDepth, [3, 4])
-        b.addGrid(model.regressor.maxIter, rounds(300, 500)).addGrid(model.regressor.stepSize, [0.03, 0.05])
-        b.addGrid(model.regressor.minInstancesPerNode, [6, 10])
-    elif name == "Two-Stage (LightGBM)":
-        b.addGrid(model.classifier.maxIter, rounds(300, 500)).addGrid(model.classifier.maxDepth, [4, 5])
-        b.addGrid(model.regressor.maxIter, rounds(300, 500)).addGrid(model.regressor.minInstancesPerNode, [15, 25])
-    elif name == "Two-Stage (CatBoost)":
-        b.addGrid(model.classifier.maxIter, rounds(200, 300)).addGrid(model.classifier.maxDepth, [3, 4])
-        b.addGrid(model.regressor.maxIter, rounds(300, 500)).addGrid(model.regressor.maxDepth, [4, 6])
-    elif name == "ElasticNet":
-        linear = model.getStages()[-1]
-        b.addGrid(linear.regParam, [0.01, 0.05, 0.1, 0.5]).addGrid(linear.elasticNetParam, [0.2, 0.5, 0.8])
-    elif name == "Ridge (L2)":
-        linear = model.getStages()[-1]
-        b.addGrid(linear.regParam, [v / max(n_train, 1) for v in (1.0, 5.0, 10.0, 50.0)])
-    else:
-        return []
-    return b.build()
+    """The tuning grid of a model as parameter maps; empty where none is published."""
+    builder = ParamGridBuilder()
+    for path, values in GRIDS.get(name, {}).items():
+        stage, _, param = path.rpartition(".")
+        owner = getattr(model, stage) if stage else model
+        if isinstance(owner, Pipeline):
+            owner = owner.getStages()[-1]
+        if param in ("numTrees", "maxIter"):
+            values = sorted({_rounds(v, size) for v in values})
+        elif name == "Ridge (L2)":
+            values = [v / max(n_train, 1) for v in values]
+        builder.addGrid(owner.getParam(param), values)
+    return builder.build() if name in GRIDS else []

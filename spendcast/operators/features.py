@@ -58,8 +58,8 @@ def day_gaps(day_rows: DataFrame) -> DataFrame:
     the window never sees more rows per customer than there are calendar days.
     """
     by_day = Window.partitionBy("customer_id").orderBy("day")
-    gap = F.floor(F.timestamp_diff("SECOND", F.lag("last_ts").over(by_day), F.col("first_ts")) / 86400)
-    return day_rows.withColumn("gap", gap)
+    elapsed = F.col("first_ts") - F.lag("last_ts").over(by_day)
+    return day_rows.withColumn("gap", F.extract(F.lit("DAY"), elapsed).cast("bigint"))
 
 
 def _gap_std() -> Column:

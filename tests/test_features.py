@@ -101,3 +101,20 @@ def test_same_result_for_any_partitioning_and_with_a_hot_customer(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_gaps_do_not_depend_on_the_session_time_zone(spark):
+    # 8 March 2020 has 23 hours in New York; the gap is still one whole day
+    rows = lines(
+        ("1", "a", 1, dt.datetime(2020, 3, 7, 12), 1.0),
+        ("1", "a", 1, dt.datetime(2020, 3, 8, 12), 1.0),
+        ("1", "a", 1, dt.datetime(2020, 3, 11, 11, 59), 1.0),
+        ("9", "z", 1, START + 200 * DAY, 1.0),
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out = behaviour(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert out["1"]["Interpurchase_Std"] == pytest.approx(statistics.stdev([1, 2]))
