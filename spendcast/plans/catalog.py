@@ -64,8 +64,9 @@ def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
 
 
 def _spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RFM and target per customer, written once."""
-    rows, split_ts = _clean(spark, sf_dir)
+    """RFM and target per customer, written once. Clean rows are read twice, so they are written too."""
+    rows = materialize(cleaning.clean(_raw(spark, sf_dir)))
+    split_ts = training.literal_split(rows, SETTINGS.horizon_days)
     summary = features.rfm(features.days(features.history(rows, split_ts)), split_ts)
     target = features.targets(features.outcome(rows, split_ts))
     return materialize(features.derived(features.with_target(summary, target)))
