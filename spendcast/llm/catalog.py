@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm import exact_dedup, language, packing
+from spendcast.llm import byte_bpe, exact_dedup, language, packing, token_count
 from spendcast.llm.common import LOWER, UPPER, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_count.count_tokens(docs, vocabulary("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_tokens", "token_score")
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coder = (vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = byte_bpe.encode(docs, *coder).select("doc_id", "ids")
+    return byte_bpe.decode(ids, *coder).select(
+        "doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packing.pieces(packed)
@@ -34,7 +52,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op6_packing, op7_exact_dedup, op8_language_id]
+    named = [op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id]
     return {q.__name__: q for q in named}
 
 
