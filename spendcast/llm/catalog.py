@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm import byte_bpe, exact_dedup, language, packing, token_count
+from spendcast.llm import byte_bpe, exact_dedup, language, packing, quality, token_count, toxicity
 from spendcast.llm.common import LOWER, UPPER, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _classified(spark: SparkSession, sf_dir: str, operator, threshold: float) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = operator.score(docs, operator.fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return scored.select(
+        "doc_id", held_out("doc_id", operator.FOLDS, operator.ASIDE).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity, 0.7)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, quality, 0.5)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_count.count_tokens(docs, vocabulary("piece_bpe_32k.model"))
@@ -52,7 +69,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id]
+    named = [op1_toxicity, op2_quality, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id]
     return {q.__name__: q for q in named}
 
 

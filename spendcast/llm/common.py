@@ -133,3 +133,56 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def binary_column(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, size: int, folds: int, aside: int, longest: int
+) -> tuple[list[tuple[int, str, float]], float]:
+    """About ``size`` labelled texts, half of them of either class, and the share of class 1 among all labels.
+
+    Rows are chosen by a hash of doc_id, from labels whose fold is not ``aside``; texts over
+    ``longest`` characters are not learnt from. Only the chosen ids, at most about ``size``, are sent
+    to the documents. Each row comes with a number in [0, 1) to split the sample by.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & (fold("doc_id", folds) != aside)).select("doc_id", F.col(label).alias("_label"))
+    totals = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}  # two rows at most
+    if not totals:
+        return [], 0.0
+    rate = F.lit(0.0)
+    for value, n in totals.items():
+        rate = F.when(F.col("_label") == value, min(1.0, size / 2 / n)).otherwise(rate)
+    place = F.pmod(F.xxhash64(F.lit(label), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = known.withColumn("_place", place).filter(F.col("_place") < rate).withColumn("_place", F.col("_place") / rate)
+    texts = docs.filter(F.length("text") <= longest).select("doc_id", "text")
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("_label", "text", "_place", "doc_id").collect()
+    rows.sort(key=lambda r: (r[2], r[3], r[1]))
+    return [(int(r[0]), r[1], r[2]) for r in rows], totals.get(1, 0) / sum(totals.values())
+
+
+def logistic_regression(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Coefficients (the constant last) by Newton steps; columns of ``x`` should be of similar size."""
+    x = np.c_[x, np.ones(len(x))]
+    w, penalty = np.zeros(x.shape[1]), np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (weight * (p - y)) + penalty * w
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.linalg.solve(hessian, gradient)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def score_texts(docs: DataFrame, scorer_of, columns: list[str]) -> DataFrame:
+    """Keep ``columns`` and add ``score``: ``scorer_of()`` gives, on an executor, a function from texts to scores."""
+    names = [*columns, "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer_of()
+        for batch in batches:
+            made = pa.array(np.asarray(score(batch.column(len(columns)).to_pylist()), float), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*columns, "score"])
+
+    frame = docs.select(*names)
+    return frame.mapInArrow(run, docs.select(*columns).limit(0).schema.add("score", "double"))
