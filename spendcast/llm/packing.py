@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -35,14 +36,25 @@ WINDOW, GRAIN, END_ID = 2048, 512, 1
 CHUNK = re.compile(r"[\S\x1c-\x1f]+")
 
 
+def _letters(kind: str) -> str:
+    return re.escape("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind))
+
+
+#: Runs of these characters are cut to words here, by the tokenizer's own rule; composing accents and
+#: lower-casing do nothing to them that ``str.lower`` doesn't.
+PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_letters('L')}]+|[{_letters('N')}]|[^\\s{_letters('L')}{_letters('N')}]+")
+
+
 class ChunkEncoder:
-    """Token ids of texts by a ``tokenizers`` file that drops white space between words.
+    """Token ids of texts by a ``tokenizers`` file that lower-cases and drops white space between words.
 
     Neither its normaliser nor its pre-tokenizer joins anything across white space, so runs between
-    white space are encoded once and looked up afterwards. The table is emptied at ``limit`` runs.
+    white space are encoded once and looked up afterwards, and so are the words of plain runs. Both
+    tables are emptied at ``limit`` entries.
     """
 
-    def __init__(self, path: str, limit: int = 400_000, long_run: int = 200):
+    def __init__(self, path: str, limit: int = 500_000, long_run: int = 200):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,40 +64,50 @@ class ChunkEncoder:
         self.ends = np.zeros(size, bool)
         for piece, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[number] = piece.endswith("</w>")
-        self.limit, self.long_run, self.known = limit, long_run, {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.limit, self.long_run = limit, long_run
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
     def _learn(self, runs: list[str]) -> None:
-        """Encode runs of letters together, split at word ends; others one by one."""
-        plain = [r for r in runs if r.isalpha()]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, self.kind)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(plain):
-            start = 0
-            for run, cut in zip(plain, cuts.tolist()):
-                self.known[run] = ids[start:cut].tobytes()
-                start = cut
-        else:
-            runs, plain = runs, []
+        if len(self.words) > self.limit:
+            self.words.clear()
+        cut, new = {}, set()
         for run in runs:
-            if run not in self.known:
-                self.known[run] = self._encode(run)
+            if PLAIN.fullmatch(run) and not any(x in run for x in self.special):
+                cut[run] = found = WORD.findall(run.lower())
+                new.update(w for w in found if w not in self.words)
+            else:
+                self.known[run] = self._encode(run).tobytes()
+        if new:
+            # One call for all of them; the last token of every word is marked.
+            order = list(new)
+            ids = self._encode(" ".join(order))
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(order):
+                data, width, start = ids.tobytes(), self.kind.itemsize, 0
+                for word, end in zip(order, ends):
+                    self.words[word] = data[start * width : end * width]
+                    start = end
+            else:
+                self.words.update((w, self._encode(w).tobytes()) for w in order)
+        for run, found in cut.items():
+            self.known[run] = b"".join([self.words[w] for w in found])
 
     def encode(self, text: str) -> bytes:
         runs = CHUNK.findall(text) if re.search("[\x1c-\x1f]", text) else text.split()
         known = self.known
         if len(known) > self.limit:
             known.clear()
-        try:
-            return b"".join(map(known.__getitem__, runs))
-        except KeyError:
-            missing = {r for r in runs if r not in known}
-        if max(map(len, missing)) > self.long_run:  # rare and long runs are not worth a place
-            return b"".join([known.get(r) or self._encode(r) for r in runs])
-        self._learn(list(missing))
+        missing = [r for r in set(runs) if r not in known]
+        long = {r: self._encode(r).tobytes() for r in missing if len(r) > self.long_run}  # not worth a place
+        if missing:
+            self._learn([r for r in missing if r not in long] if long else missing)
+        if long:
+            return b"".join([long[r] if r in long else known[r] for r in runs])
         return b"".join(map(known.__getitem__, runs))
 
 
