@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm import byte_bpe, exact_dedup, language, packing, quality, token_count, toxicity
+from spendcast.llm import byte_bpe, exact_dedup, language, neighbours, packing, quality, token_count, toxicity
 from spendcast.llm.common import LOWER, UPPER, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,8 +68,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", language.FOLDS, 0).alias("held_out"), "lang_pred", "score")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    router = neighbours.fit(vectors, "embedding", "vec_id")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), router)
+
+
 def queries() -> dict[str, Query]:
-    named = [op1_toxicity, op2_quality, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id]
+    named = [op1_toxicity, op2_quality, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id, op9_nearest_neighbours]
     return {q.__name__: q for q in named}
 
 
