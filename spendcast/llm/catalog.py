@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm import byte_bpe, exact_dedup, language, neighbours, packing, quality, token_count, toxicity
+from spendcast.llm import byte_bpe, exact_dedup, language, neighbours, ngram_join, packing, quality, token_count, toxicity
 from spendcast.llm.common import LOWER, UPPER, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, quality, 0.5)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_count.count_tokens(docs, vocabulary("piece_bpe_32k.model"))
@@ -75,7 +79,7 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = [op1_toxicity, op2_quality, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id, op9_nearest_neighbours]
+    named = [op1_toxicity, op2_quality, op3_ngram_join, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id, op9_nearest_neighbours]
     return {q.__name__: q for q in named}
 
 
