@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendcast.llm import byte_bpe, exact_dedup, language, neighbours, ngram_join, packing, quality, token_count, toxicity
+from spendcast.llm import byte_bpe, exact_dedup, language, neighbours, ngram_join, packing, quality, suffix_dedup, token_count, toxicity
 from spendcast.llm.common import LOWER, UPPER, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +78,12 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0), router)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    named = [op1_toxicity, op2_quality, op3_ngram_join, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id, op9_nearest_neighbours]
+    named = [op1_toxicity, op2_quality, op3_ngram_join, op4_token_counts, op5_byte_bpe, op6_packing, op7_exact_dedup, op8_language_id, op9_nearest_neighbours, op10_suffix_dedup]
     return {q.__name__: q for q in named}
 
 
