@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,12 +126,13 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"no stable components after {rounds} rounds")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+#: Ids that are sent to every task instead of shuffling the other side (8 bytes each).
+BROADCAST_IDS = 2_000_000
 
 
-def binary_column(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary())
+def checked_broadcast(ids: DataFrame) -> DataFrame:
+    """The ids marked for broadcasting if they are few, and as they are otherwise."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def labelled_sample(

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import ascii_lower, partitions, text_of
+from spendcast.llm.common import ascii_lower, checked_broadcast, partitions, text_of
 from spendcast.session import materialize
 
 #: Fingerprints that one merged filter should hold, and distinct routed ones that are broadcast (16 MB).
@@ -175,9 +175,9 @@ def exact_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
     equal = texts.join(routed.select("print"), "print", "left_semi").groupBy("print", "normal").agg(F.count("*").alias("n"))
     verified = materialize(equal.filter("n > 1").select(F.sha2("normal", 256).alias("text_sha256")))
     best = F.max(F.struct("doc_id", "row")).alias("best")
-    groups = (
-        rows.join(verified, "text_sha256", "left_semi").groupBy("text_sha256").agg(best, F.count("*").alias("group_size"))
-    )
+    # Added up in every task first: a group may hold a third of all rows.
+    sizes = rows.groupBy("text_sha256").agg(best, F.count("*").alias("group_size")).filter("group_size > 1")
+    groups = sizes.join(verified, "text_sha256", "left_semi")
     joined = rows.join(groups, "text_sha256", "left")
     alone = F.col("best").isNull()
     return joined.select(
@@ -186,3 +186,21 @@ def exact_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
         F.coalesce(F.col("group_size"), F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("row") == F.col("best.row"))).alias("kept"), "text_sha256",
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    rows = materialize(exact_duplicates(docs).select("doc_id", "text_sha256", "kept"))
+    keyed = docs.withColumn("_sha", F.sha2(ascii_lower(text_of()), 256))
+    # A copy goes if no row with its doc_id and text stays; of rows equal in both one stays.
+    same = rows.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    named = same.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"), "kept", "n")
+    equal = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text"))
+    gone = materialize(named.filter("not kept"))
+    out = keyed.join(checked_broadcast(gone), equal, "left_anti")
+    twice = materialize(named.filter("kept and n > 1"))
+    if twice.limit(1).count():
+        twice = checked_broadcast(twice)
+        once = out.join(twice, equal, "left_semi").dropDuplicates(["doc_id", "_sha"])
+        out = out.join(twice, equal, "left_anti").union(once)
+    return out.drop("_sha")

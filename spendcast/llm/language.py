@@ -212,3 +212,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     kept = set(docs.columns)
     schema = docs.limit(0).schema.add("lang_pred", "string").add("score", "double")
     return docs.mapInArrow(run, schema)
+
+
+def confident(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a language of at least this score; the model is fitted on them."""
+    scored = identify(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), fit(docs))
+    kept = scored.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
+    return kept.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns)

@@ -33,14 +33,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import components, drop_table
+from spendcast.llm.common import checked_broadcast, components, drop_table
 from spendcast.session import materialize
 
 WORDS, PERCENT, BLOCK = 5, 80, 256
 #: Most frequent shingles that are sent to every task, and shingles counted at a time in a task.
 FREQUENT, CHUNK = 1 << 18, 3_000_000
-#: Ids of documents that are sent to the text scan instead of shuffling the texts (8 bytes each).
-BROADCAST_IDS = 2_000_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -226,9 +224,8 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             made = [shingles(t, words).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc", "set"])
 
-    few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    return texts.join(F.broadcast(ids) if few else ids, "doc", "left_semi").mapInArrow(run, "doc long, set binary")
+    return texts.join(checked_broadcast(ids), "doc", "left_semi").mapInArrow(run, "doc long, set binary")
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -281,3 +278,10 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id").cast("long")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component; rows without doc_id stay."""
+    classes = link_components(docs, words, percent)
+    gone = materialize(classes.filter("component_id != doc_id").select("doc_id").distinct())
+    return docs.join(checked_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)

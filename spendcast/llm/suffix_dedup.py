@@ -30,15 +30,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from spendcast.llm.common import drop_table
+from spendcast.llm.common import BROADCAST_IDS, checked_broadcast, drop_table
 from spendcast.llm.suffix_array import suffix_array
 from spendcast.session import materialize
 
 LENGTH, GRAM = 200, 32
 #: Distinct segments up to which a bucket is sorted whole, and bytes that are sorted at a time.
 BUCKET, CHUNK = 1000, 50_000
-#: Rows whose ids are sent to a text scan instead of shuffling all texts (8 bytes each).
-BROADCAST_IDS = 2_000_000
 
 _BYTE = np.random.default_rng(17).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -153,7 +151,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``texts`` whose ``row`` is in ``ids``; few ids are sent to the scan."""
-    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "row", "left_semi")
+    return texts.join(checked_broadcast(ids), "row", "left_semi")
 
 
 def _segment_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
