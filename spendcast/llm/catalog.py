@@ -95,5 +95,23 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM rows WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+OP3 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) END AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7}
+    return {"op3_ngram_join": OP3, "op7_exact_dedup": OP7}

@@ -217,50 +217,51 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """Rows (doc, set) of the documents in ``ids`` (column ``doc``), read from their texts again."""
+    """Rows (doc, set) of the documents in ``ids`` (doc, print), read from their texts again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingles(t, words).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc", "set"])
+            # A doc_id with several texts: the one that is meant.
+            own = [i for i, (x, p) in enumerate(zip(made, batch.column(2).to_pylist())) if xxhash.xxh3_128_digest(x) == p]
+            columns = [batch.column(0).take(pa.array(own, pa.int64())), pa.array([made[i] for i in own], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    return texts.join(checked_broadcast(ids), "doc", "left_semi").mapInArrow(run, "doc long, set binary")
+    return texts.join(checked_broadcast(ids), "doc").select("doc", "text", "print").mapInArrow(run, "doc long, set binary")
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id)."""
     described = materialize(describe(docs, words, percent))
-    groups = described.filter("n > 0").groupBy("print").agg(F.min("doc_id").cast("long").alias("doc"))
-    groups = materialize(groups)
-    # Rows repeated with the smallest doc_id of a set are told apart by nothing, hence the distinct.
-    one = described.withColumn("doc", F.col("doc_id").cast("long")).join(groups, ["print", "doc"]).select("doc", "n", "head")
-    heads = materialize(one.dropDuplicates(["doc"]))
-    listed = heads.select("doc", "n", F.posexplode("head").alias("at", "shingle"))
-    first = F.min(F.struct("doc", "n", "at")).alias("first")
-    shared = listed.groupBy("shingle").agg(first, F.count("*").alias("many")).filter("many > 1").drop("many")
-    lists = materialize(
-        listed.join(shared, "shingle").select("shingle", "doc", "n", "at", *(F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc", "n", "at")))
-    )
-    drop_table(heads)
-
+    rows = described.select(F.col("doc_id").cast("long").alias("doc"), "n", "print", "head").filter("n > 0")
+    groups = materialize(rows.groupBy("print").agg(F.min("doc").alias("doc"), F.max("doc").alias("high")))
+    copied = groups.filter("high > doc").select("print", F.col("doc").alias("low"))
+    gone = rows.select("doc", "print").join(copied, "print").filter("doc > low").select("doc", "print").distinct()
+    one = rows.join(checked_broadcast(materialize(gone)), ["doc", "print"], "left_anti").filter("doc is not null")
+    listed = one.select("doc", "n", F.posexplode("head").alias("at", "shingle"))
+    shared = listed.groupBy("shingle").agg(F.count("*").alias("many")).filter("many > 1").select("shingle")
+    entries = materialize(listed.join(shared, "shingle"))
+    first = entries.groupBy("shingle").agg(F.min(F.struct("doc", "n", "at")).alias("first"))
+    first = first.select("shingle", *(F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc", "n", "at")))
+    lists = entries.join(first, "shingle")
     to_first = materialize(
         lists.filter((F.col("doc") != F.col("first_doc")) & may_link(percent, "n", "at", "first_n", "first_at"))
         .select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).distinct()
     )
-    sets = materialize(sets_of(docs, lists.select("doc").distinct(), words).dropDuplicates(["doc"]))
-    links = materialize(verified(to_first, sets, percent))
+    meant = groups.select("doc", "print")
+    links = materialize(_checked(docs, to_first, meant, words, percent))
     settled = components(links)
 
-    entries = lists.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
+    marked = entries.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
         "shingle", "doc", "n", "at", F.coalesce("component", "doc").alias("own")
     )
-    open_lists = entries.groupBy("shingle").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high")
-    left = materialize(entries.join(open_lists.select("shingle"), "shingle", "left_semi"))
+    several = marked.groupBy("shingle").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high")
+    left = materialize(marked.join(several.select("shingle"), "shingle", "left_semi"))
+    drop_table(entries)
     weight = left.groupBy("shingle", "own").agg(F.count("*").alias("many"))
     main = weight.groupBy("shingle").agg(F.max_by("own", F.struct("many", "own")).alias("main"))
-    marked = left.join(main, "shingle")
-    outside = marked.filter("own != main")
+    outside = left.join(main, "shingle").filter("own != main")
     other = left.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("doc", "n", "at", "own")))
     across = (
         outside.join(other, "shingle")
@@ -268,8 +269,8 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .filter(may_link(percent, "n", "at", "other_n", "other_at"))
     )
     pair = across.select(F.greatest("doc", "other_doc").alias("a"), F.least("doc", "other_doc").alias("b")).distinct()
-    more = verified(materialize(pair.join(to_first, ["a", "b"], "left_anti")), sets, percent)
-    linked = components(links.union(materialize(more)))
+    rest = materialize(pair.join(to_first, ["a", "b"], "left_anti"))
+    linked = components(links.union(materialize(_checked(docs, rest, meant, words, percent))))
 
     final = groups.join(linked.withColumnRenamed("node", "doc"), "doc", "left").select(
         "print", F.coalesce("component", "doc").alias("component_id")
@@ -280,6 +281,13 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def _checked(docs: DataFrame, pairs: DataFrame, meant: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of ``pairs`` (a, b) those that link. ``meant`` names the text of each doc by its print."""
+    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
+    sets = materialize(sets_of(docs, materialize(ids.join(meant, "doc")), words))
+    return verified(pairs, sets, percent)
+
+
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component; rows without doc_id stay."""
     classes = link_components(docs, words, percent)

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.llm.common import BROADCAST_IDS, checked_broadcast, drop_table
 from spendcast.llm.suffix_array import suffix_array
@@ -145,8 +145,9 @@ def _runs(starts: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("row", F.xxhash64("doc_id", "text"))
+def _row() -> Column:
+    """Names a document by its content, so a lost task gives its rows the same names again."""
+    return F.xxhash64("doc_id", "text")
 
 
 def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -256,7 +257,7 @@ def _counted_spans(members: DataFrame, length: int) -> DataFrame:
 
 
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Stretches of repeated strings (row, start, stop), overlapping ones included, for ``_keyed`` documents."""
+    """Stretches of repeated strings (row, start, stop), overlapping ones included, for documents (row, text)."""
     table = materialize(_segment_table(docs, length, gram))
     anchors = table.groupBy("gram").agg(F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high"))
     shared = anchors.filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
@@ -290,10 +291,11 @@ def cut(data: bytes, own: list[tuple[int, int]]) -> tuple[bytes, int]:
 
 def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """The columns of ``docs`` with ``n_bytes``, ``n_spans`` and ``kept`` (the remaining bytes)."""
-    docs = docs.drop("n_bytes", "n_spans", "kept", "row")
-    keyed = _keyed(docs)
-    found = materialize(spans(keyed, length, gram))
-    by_row = materialize(found.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("own")))
+    docs = docs.drop("n_bytes", "n_spans", "kept")
+    keyed = docs.withColumn("_row", _row())
+    found = materialize(spans(docs.select(_row().alias("row"), "text"), length, gram))
+    by_row = materialize(found.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "stop")).alias("_own")))
+    drop_table(found)
     columns = docs.columns
     position = columns.index("text")
 
@@ -311,14 +313,14 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=names)
 
     schema = docs.limit(0).schema.add("n_bytes", "long").add("n_spans", "long").add("kept", "binary")
-    ids = by_row.select("row")
+    ids = by_row.select("_row")
     few = ids.count() <= BROADCAST_IDS
     if few:  # only texts that lose something meet their stretches in a shuffle
-        hit = keyed.join(F.broadcast(ids), "row", "left_semi").join(by_row, "row")
-        rest = keyed.join(F.broadcast(ids), "row", "left_anti").withColumn("own", F.lit(None).cast(by_row.schema["own"].dataType))
-        met = hit.select(*columns, "own").union(rest.select(*columns, "own"))
+        hit = keyed.join(F.broadcast(ids), "_row", "left_semi").join(by_row, "_row")
+        rest = keyed.join(F.broadcast(ids), "_row", "left_anti").withColumn("_own", F.lit(None).cast(by_row.schema["_own"].dataType))
+        met = hit.select(*columns, "_own").union(rest.select(*columns, "_own"))
     else:
-        met = keyed.join(by_row, "row", "left").select(*columns, "own")
+        met = keyed.join(by_row, "_row", "left").select(*columns, "_own")
     return met.mapInArrow(run, schema)
 
 
