@@ -90,8 +90,10 @@ def running_total(df: DataFrame, order: list[str], value: str, into: str, within
     earlier = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sums.select(key, "_task", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
     # Without `within` there is one row per task, which is safe to broadcast; else Spark chooses.
+    shifts = shifts.withColumnsRenamed({key: "_key", "_task": "_of"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_task") == F.col("_of"))
     return (
-        local.join(shifts if within else F.broadcast(shifts), [key, "_task"])
+        local.join(shifts if within else F.broadcast(shifts), same)
         .withColumn(into, F.col(into) + F.col("_shift"))
         .select(*columns, into)
     )
