@@ -15,6 +15,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -46,6 +47,46 @@ PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
 WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_letters('L')}]+|[{_letters('N')}]|[^\\s{_letters('L')}{_letters('N')}]+")
 
 
+def byte_characters() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, others from 256 on."""
+    shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def rank_encoding(definition: dict):
+    """The merges of a byte-level BPE with word ends as a rank vocabulary whose ranks are its ids, or None.
+
+    A word ends with a zero byte, which joins the last byte before anything else. Merging by rank then
+    gives the tokenizer's ids if ids rise with the merges and every token, taken by itself, merges to
+    itself: two tokens that make up a third but aren't its merge cannot come to stand side by side,
+    for the third by itself would have stopped there, too. Both conditions are checked here.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    own, suffix = definition["model"], "</w>"
+    vocab, merges = own["vocab"], [m.split(" ") if isinstance(m, str) else m for m in own["merges"]]
+    made = [vocab.get(a + b) for a, b in merges]
+    if own["end_of_word_suffix"] != suffix or None in made or made != sorted(made) or made and made[0] < 512:
+        return None
+    bare = definition | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
+    ending = Tokenizer.from_str(json.dumps(bare))
+    inner = Tokenizer.from_str(json.dumps(bare | {"model": own | {"end_of_word_suffix": None}}))
+    special, byte, ranks = {t["content"] for t in definition["added_tokens"]}, byte_characters(), {}
+    for piece, number in vocab.items():
+        stem = piece.removesuffix(suffix)
+        if piece in special:
+            continue
+        if not all(c in byte for c in stem) or (inner if stem == piece else ending).encode(stem).ids != [number]:
+            return None
+        data = bytes(byte[c] for c in stem)
+        if b"\0" not in data:
+            ranks[data + (b"" if stem == piece else b"\0")] = number
+    ranks[b"\0"] = max(vocab.values()) + 1
+    return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+
 class ChunkEncoder:
     """Token ids of texts by a ``tokenizers`` file that lower-cases and drops white space between words.
 
@@ -65,6 +106,8 @@ class ChunkEncoder:
         for piece, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[number] = piece.endswith("</w>")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as file:
+            self.ranks = rank_encoding(json.load(file))
         self.limit, self.long_run = limit, long_run
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -72,12 +115,17 @@ class ChunkEncoder:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
+    def _encode_words(self, words: list[str]) -> np.ndarray:
+        if self.ranks:
+            return np.array(self.ranks.encode_ordinary("\0".join(words) + "\0"), self.kind)
+        return self._encode(" ".join(words))
+
     def _learn(self, runs: list[str]) -> None:
         if len(self.words) > self.limit:
             self.words.clear()
         cut, new = {}, set()
         for run in runs:
-            if PLAIN.fullmatch(run) and not any(x in run for x in self.special):
+            if PLAIN.fullmatch(run) and ("<" not in run or not any(x in run for x in self.special)):
                 cut[run] = found = WORD.findall(run.lower())
                 new.update(w for w in found if w not in self.words)
             else:
@@ -85,7 +133,7 @@ class ChunkEncoder:
         if new:
             # One call for all of them; the last token of every word is marked.
             order = list(new)
-            ids = self._encode(" ".join(order))
+            ids = self._encode_words(order)
             ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(ends) == len(order):
                 data, width, start = ids.tobytes(), self.kind.itemsize, 0
