@@ -27,9 +27,13 @@ def lgamma(x: Column) -> Column:
 
 
 def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss 2F1 for 0 <= z < 1: power series after Euler's transformation; NaN if it does not settle."""
+    """Gauss 2F1 for 0 <= z < 1: power series after Euler's transformation; NaN if it does not settle.
+
+    Where the transformed terms would change sign and cancel, the series is summed as it is.
+    """
     a, b, c, z = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, c, z))
-    p, q = c - a, c - b
+    turned = (c - a > -1) & (c - b > -1)
+    p, q = np.where(turned, c - a, a), np.where(turned, c - b, b)
     with np.errstate(all="ignore"):
         total, term = np.ones_like(z), np.ones_like(z)
         settled = False
@@ -43,7 +47,7 @@ def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.nda
                     break
         if not settled:
             total = np.where(np.abs(term) <= 1e-12 * np.abs(total), total, np.nan)
-        return (1 - z) ** (c - a - b) * total
+        return np.where(turned, (1 - z) ** (c - a - b), 1.0) * total
 
 
 @F.pandas_udf(DoubleType())

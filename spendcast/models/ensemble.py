@@ -8,7 +8,7 @@ from pyspark.ml import Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasPredictionCol
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 class EnsembleModel(Model, HasPredictionCol, MLReadable, MLWritable):
@@ -32,8 +32,8 @@ class EnsembleModel(Model, HasPredictionCol, MLReadable, MLWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         weights = self.getOrDefault(self.weights)
         out = predict_columns(dataset, {f"_m{i}": m for i, m in enumerate(self.members)})
-        total = sum((F.col(f"_m{i}") * w for i, w in enumerate(weights)), F.lit(0.0))
-        return out.withColumn(self.getPredictionCol(), total / F.lit(float(sum(weights)))).select(
+        mean = weighted_mean([F.col(f"_m{i}") for i in range(len(weights))], [F.lit(float(w)) for w in weights])
+        return out.withColumn(self.getPredictionCol(), mean).select(
             *dataset.columns, self.getPredictionCol()
         )
 
@@ -45,6 +45,11 @@ class EnsembleModel(Model, HasPredictionCol, MLReadable, MLWritable):
         return _EnsembleReader()
 
 
+def weighted_mean(values: Sequence[Column], weights: Sequence[Column]) -> Column:
+    total = sum((v * w for v, w in zip(values, weights)), F.lit(0.0))
+    return total / sum(weights, F.lit(0.0))
+
+
 def predict_columns(df: DataFrame, models: dict[str, Transformer]) -> DataFrame:
     """One prediction column per model on the same row."""
     out = df

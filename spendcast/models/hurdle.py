@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import replace
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
@@ -21,10 +22,9 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, functions as F
 
 from spendcast.config import SETTINGS
+from spendcast.operators.evaluation import class_weights
+from spendcast.operators.scoring import hurdle_dollars
 
-# Distinct probabilities per unit that reach the isotonic fit. Its last step runs in one place, so
-# this bounds its input to a million weighted points whatever the number of customers.
-PROBABILITY_GRID = 1_000_000
 MIN_POSITIVE = 5
 
 logger = logging.getLogger(__name__)
@@ -51,11 +51,14 @@ class HurdleRegressor(Estimator, _HurdleParams):
     ``balance`` weights the classes: ``"balanced"`` gives n / (2 n_class) to each,
     ``"positive"`` gives max(1, n_neg / n_pos) to spenders, ``"none"`` nothing.
     ``calibrationFraction`` keeps that share of the rows (by hash) away from the classifier and
-    calibrates on them; 0 calibrates on the training rows.
+    calibrates on them; 0 calibrates on the training rows. ``probabilityGrid`` is the number of
+    distinct probabilities that reach the isotonic fit, whose last step runs in one place; rows
+    within a cell are averaged, so a calibrated value moves by less than one cell.
     """
 
     balance = Param(Params._dummy(), "balance", "balanced, positive or none", TypeConverters.toString)
     calibrationFraction = Param(Params._dummy(), "calibrationFraction", "held-out share", TypeConverters.toFloat)
+    probabilityGrid = Param(Params._dummy(), "probabilityGrid", "cells of the isotonic fit", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
@@ -69,13 +72,14 @@ class HurdleRegressor(Estimator, _HurdleParams):
         balance: str = "none",
         calibrationFraction: float = 0.0,
         logMax: float = SETTINGS.log_pred_max,
+        probabilityGrid: int = 1_000_000,
     ):
         super().__init__()
         self._defaults()
         kwargs = dict(self._input_kwargs)
         self.classifier = kwargs.pop("classifier")
         self.regressor = kwargs.pop("regressor")
-        self._setDefault(balance="none", calibrationFraction=0.0)
+        self._setDefault(balance="none", calibrationFraction=0.0, probabilityGrid=1_000_000)
         self._set(**kwargs)
 
     def copy(self, extra=None) -> "HurdleRegressor":
@@ -84,23 +88,17 @@ class HurdleRegressor(Estimator, _HurdleParams):
         that.regressor = self.regressor.copy(extra or {})
         return that
 
-    def _weights(self, n: int, positives: int) -> tuple[float, float]:
-        negatives = n - positives
-        kind = self.getOrDefault(self.balance)
-        if positives == 0 or negatives == 0 or kind == "none":
-            return 1.0, 1.0
-        if kind == "balanced":
-            return n / (2 * negatives), n / (2 * positives)
-        return 1.0, max(1.0, negatives / positives)
-
     def _fit(self, dataset: DataFrame) -> "HurdleModel":
         label, features = self.getLabelCol(), self.getFeaturesCol()
+        positives = F.count_if(F.col(label) > 0)
+        weights = class_weights(self.getOrDefault(self.balance), F.count("*") - positives, positives)
         counts = dataset.agg(
-            F.count("*").alias("n"),
-            F.count_if(F.col(label) > 0).alias("positives"),
+            positives.alias("positives"),
             F.avg(F.when(F.col(label) > 0, F.col(label))).alias("mean_positive"),
+            weights[0].alias("negative_weight"),
+            weights[1].alias("positive_weight"),
         ).first()
-        negative, positive = self._weights(counts["n"], counts["positives"])
+        negative, positive = counts["negative_weight"], counts["positive_weight"]
         rows = dataset.withColumns(
             {
                 "_spends": (F.col(label) > 0).cast("double"),
@@ -134,19 +132,19 @@ class HurdleRegressor(Estimator, _HurdleParams):
             ).fit(rows.filter(F.col(label) > 0))
         model = HurdleModel(
             classifier=classifier,
-            calibrator=_calibrate(classifier, calibration_rows),
+            calibrator=_calibrate(classifier, calibration_rows, self.getOrDefault(self.probabilityGrid)),
             regressor=regressor,
             fallback=float(counts["mean_positive"] or 0.0),
         )
         return self._copyValues(model)
 
 
-def _calibrate(classifier: Model, rows: DataFrame) -> Model | None:
+def _calibrate(classifier: Model, rows: DataFrame, grid: int) -> Model | None:
     """Isotonic fit of the observed rate on the predicted probability; ``None`` without both classes."""
     scored = classifier.transform(rows).select(
         vector_to_array("_probability")[1].alias("p"), F.col("_spends").alias("y")
     )
-    points = scored.groupBy(F.floor(F.col("p") * PROBABILITY_GRID).alias("cell")).agg(
+    points = scored.groupBy(F.floor(F.col("p") * grid).alias("cell")).agg(
         F.avg("p").alias("p"), F.avg("y").alias("y"), F.count("*").cast("double").alias("w")
     )
     isotonic = IsotonicRegression(featuresCol="p", labelCol="y", weightCol="w", predictionCol="_calibrated")
@@ -190,13 +188,14 @@ class HurdleModel(Model, _HurdleParams, MLReadable, MLWritable):
             out = self.regressor.transform(out)
         else:
             out = out.withColumn("_log_amount", F.lit(self.getOrDefault(self.fallback)))
-        top = F.lit(self.getOrDefault(self.logMax)) if self.regressor is not None else F.col("_log_amount")
-        amount = F.expm1(F.least(F.greatest(F.col("_log_amount"), F.lit(0.0)), top))
-        expected = F.col(prob) * amount
-        nothing = (F.col(prob) < self.getOrDefault(self.threshold)) | (expected < self.getOrDefault(self.minDollars))
-        return out.withColumn(
-            self.getPredictionCol(), F.log1p(F.when(nothing, 0.0).otherwise(expected))
-        ).select(*dataset.columns, prob, self.getPredictionCol())
+        limits = replace(
+            SETTINGS,
+            log_pred_max=self.getOrDefault(self.logMax) if self.regressor is not None else float("inf"),
+            churn_threshold=self.getOrDefault(self.threshold),
+            min_dollars=self.getOrDefault(self.minDollars),
+        )
+        amount = hurdle_dollars(F.col(prob), F.col("_log_amount"), limits)
+        return out.withColumn(self.getPredictionCol(), F.log1p(amount)).select(*dataset.columns, prob, self.getPredictionCol())
 
     def write(self) -> MLWriter:
         return _HurdleWriter(self)

@@ -34,6 +34,7 @@ class Benchmark:
     champion: str
     models: dict[str, Transformer]
     rows: list[dict] = field(default_factory=list)
+    params: dict[str, dict] = field(default_factory=dict)
 
     @property
     def best(self) -> Transformer:
@@ -175,7 +176,8 @@ def benchmark(
     best = board_ops.champion(board, settings.min_dollar_r2).first()
     if best is None:
         raise RuntimeError("no model is eligible as champion")
-    return Benchmark(board_ops.ordered(board), best["Model"], fitted, rows)
+    params = {name: zoo.params_of(candidates[name]) for name in fitted if name in candidates}
+    return Benchmark(board_ops.ordered(board), best["Model"], fitted, rows, params)
 
 
 def tune(

@@ -105,6 +105,21 @@ def build(
     }
 
 
+def params_of(model: Estimator | Transformer) -> dict[str, str]:
+    """Parameters of a model and of its stages, columns left out, for the run log."""
+    parts = {"": model}
+    if isinstance(model, Pipeline):
+        parts = {"": model.getStages()[-1]}
+    elif isinstance(model, HurdleRegressor):
+        parts |= {"classifier.": model.classifier, "regressor.": model.regressor}
+    return {
+        prefix + param.name: str(value)
+        for prefix, part in parts.items()
+        for param, value in part.extractParamMap().items()
+        if not param.name.endswith("Col")
+    }
+
+
 # The published tuning grids under Spark's parameter names. Leaf counts are given as
 # depths and column sampling as the feature subset; settings without a counterpart are left out.
 GRIDS: dict[str, dict[str, list]] = {

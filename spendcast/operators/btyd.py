@@ -229,9 +229,11 @@ def prob_alive(x: Column, tx: Column, age: Column, k: PurchaseParams) -> Column:
 def expected_purchases(x: Column, tx: Column, age: Column, k: PurchaseParams, horizon: float) -> Column:
     """Expected purchases in the next ``horizon`` days."""
     a = k.a if abs(k.a - 1) > 1e-9 else 1 + 1e-9
-    c = x + (a + k.b - 1)
+    # A customer without repeats has no value at a + b = 1, only a limit; a step aside is near it.
+    b = k.b if abs(a + k.b - 1) > 1e-7 else 1 - a + 1e-7
+    c = x + (a + b - 1)
     end = age + (k.alpha + horizon)
-    series = hyp2f1_column(x + k.r, x + k.b, c, F.lit(float(horizon)) / end)
+    series = hyp2f1_column(x + k.r, x + b, c, F.lit(float(horizon)) / end)
     growth = 1 - series * F.pow((age + k.alpha) / end, x + k.r)
     return c / (a - 1) * growth * prob_alive(x, tx, age, k)
 

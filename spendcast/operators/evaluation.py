@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spendcast.config import SETTINGS
 from spendcast.operators.metrics import metric_columns
@@ -18,6 +18,10 @@ TOP, MID, LOW, ZERO, ALL = (
 )
 
 
+#: Values of the column that a histogram may be split by.
+HISTOGRAM_GROUPS = 1000
+
+
 def segment_thresholds(train: DataFrame, target: str = "Next_3M_Spend") -> tuple[float, float]:
     """P20 and P80 of positive spend; zero when nobody spends."""
     positive = train.filter(F.col(target) > 0)
@@ -69,8 +73,9 @@ def calibration_curve(scored: DataFrame, prob: str = "prob_spend", actual: str =
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
     """Uniform bins between minimum and maximum, per value of ``by``; the last bin is closed.
 
-    Empty bins are kept. A constant column gets bins half a unit around its value. The bounds are
-    one row per value of ``by``.
+    Empty bins are kept. A constant column gets bins half a unit around its value. ``by`` is a flag
+    or segment with at most ``HISTOGRAM_GROUPS`` values (more raise), so the bounds, one row for
+    each, are broadcast: rows are counted where they are and only counts are shuffled.
     """
     keyed = df.select((F.col(by) if by else F.lit(0)).alias("_by"), F.col(value).alias("_v")).filter("_v is not null")
     lone = F.col("_min") == F.col("_max")
@@ -84,16 +89,23 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> Da
             "_n",
         )
     )
+    if by:
+        if bounds.limit(HISTOGRAM_GROUPS + 1).count() > HISTOGRAM_GROUPS:
+            raise ValueError(f"{by} has more than {HISTOGRAM_GROUPS} values")
+        placed = keyed.join(F.broadcast(bounds), F.col("_by").eqNullSafe(F.col("_g")))
+    else:
+        limits = bounds.select(F.struct("_lo", "_hi").alias("b")).scalar()
+        placed = keyed.select(F.col("_by").alias("_g"), "_v", limits["_lo"].alias("_lo"), limits["_hi"].alias("_hi"))
     position = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
     counted = (
-        keyed.join(bounds, F.col("_by").eqNullSafe(F.col("_g")))
-        .select("_g", F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
-        .groupBy("_g", "bin")
+        placed.select(F.col("_g").alias("_k"), F.least(position, F.lit(bins - 1)).cast("int").alias("_bin"))
+        .groupBy("_k", "_bin")
         .agg(F.count("*").alias("n"))
     )
     width = (F.col("_hi") - F.col("_lo")) / bins
     frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    filled = frame.join(counted, ["_g", "bin"], "left").fillna(0, ["n"])
+    same = (F.col("bin") == F.col("_bin")) & (F.col("_g").eqNullSafe(F.col("_k")) if by else F.lit(True))
+    filled = frame.join(counted, same, "left").fillna(0, ["n"])
     return filled.select(
         *([F.col("_g").alias(by)] if by else []),
         "bin",
@@ -169,10 +181,22 @@ def segment_totals(scored: DataFrame, segment: str = "Segment", value: str = "CL
     )
 
 
+def class_weights(kind: str, negatives: Column, positives: Column) -> tuple[Column, Column]:
+    """Weights of non-spenders and spenders: n / (2 n_class), or max(1, n_neg / n_pos) for spenders, or 1."""
+    one = F.lit(1.0)
+    lone = (positives == 0) | (negatives == 0)
+    if kind == "balanced":
+        n = negatives + positives
+        return F.when(lone, one).otherwise(n / (2 * negatives)), F.when(lone, one).otherwise(n / (2 * positives))
+    if kind == "positive":
+        return one, F.when(lone, one).otherwise(F.greatest(one, negatives / positives))
+    return one, one
+
+
 def class_balance(train: DataFrame, target: str = "Next_3M_Spend") -> DataFrame:
     """Spenders, non-spenders and the weight of a spender, at least one."""
     positive, negative = F.count_if(F.col(target) > 0), F.count_if(F.col(target) == 0)
-    weight = F.when(positive > 0, F.greatest(F.lit(1.0), negative / positive)).otherwise(1.0)
+    _, weight = class_weights("positive", negative, positive)
     return train.agg(positive.alias("n_positive"), negative.alias("n_negative"), weight.alias("positive_weight"))
 
 

@@ -173,15 +173,15 @@ def local_surrogate(
     def solve(batches):
         penalty = np.diag([0.0] + [ridge] * d)
         for rows in batches:
-            out = []
-            for _, row in rows.iterrows():
-                a = np.zeros((d + 1, d + 1))
-                for i in range(d + 1):
-                    for j in range(i + 1):
-                        a[i, j] = a[j, i] = row[f"a_{i}_{j}"]
-                beta = np.linalg.solve(a + penalty, np.array([row[f"b_{i}"] for i in range(d + 1)], dtype=float))
-                out.extend((row[key], f, float(w)) for f, w in zip(features, beta[1:]))
-            yield pd.DataFrame(out, columns=[key, "feature", "weight"])
+            a = np.empty((len(rows), d + 1, d + 1))
+            for i in range(d + 1):
+                for j in range(i + 1):
+                    a[:, i, j] = a[:, j, i] = rows[f"a_{i}_{j}"]
+            b = np.stack([rows[f"b_{i}"].to_numpy(float) for i in range(d + 1)], axis=1)
+            weights = np.linalg.solve(a + penalty, b[:, :, None])[:, 1:, 0]
+            yield pd.DataFrame(
+                {key: rows[key].repeat(d), "feature": features * len(rows), "weight": weights.ravel()}
+            )
 
     return equations.mapInPandas(solve, schema)
 

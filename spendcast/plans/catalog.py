@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from spendcast.config import CAPPED_COLS, FEATURE_COLS, SETTINGS
 from spendcast.models import selection, zoo
 from spendcast.models.baselines import MeanRegressor
-from spendcast.models.ensemble import EnsembleModel
+from spendcast.models.ensemble import EnsembleModel, weighted_mean
 from spendcast.operators import (
     btyd,
     caps,
@@ -142,6 +142,24 @@ def csv_round_trip(spark, sf_dir):
     return _round(per_day, 4, "spend")
 
 
+def csv_published_layout(spark, sf_dir):
+    """Eight columns in another order, dates as ``M/d/yyyy H:mm``."""
+    path = _path(spark, "transactions")
+    raw = transactions.untidy_orders_as_transactions(spark, sf_dir)
+    ordered = raw.repartition("Invoice").sortWithinPartitions("Invoice", "line_no", "Quantity", "Price")
+    given = ordered.select(
+        F.lit("United Kingdom").alias("Country"), "Customer ID", "Price",
+        F.date_format("InvoiceDate", "M/d/yyyy H:mm").alias("InvoiceDate"), "Quantity",
+        F.concat(F.lit("Item, "), "StockCode").alias("Description"), "StockCode", "Invoice",
+    )
+    tables.write_table(given, path, "csv")
+    rows = cleaning.clean(transactions.read_transactions_csv(spark, path, "M/d/yyyy H:mm"))
+    per_day = rows.groupBy(F.date_format("InvoiceDate", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("lines"), F.sum("Quantity").alias("items"), F.sum("TotalAmount").alias("spend")
+    )
+    return _round(per_day, 4, "spend")
+
+
 def parquet_round_trip(spark, sf_dir):
     path = _path(spark, "clean")
     rows, _ = _clean(spark, sf_dir)
@@ -642,7 +660,7 @@ def weighted_log_mean(spark, sf_dir):
         ).alias("m")
     ).scalar()
     wa, wb = 1 / (mae["a"] + F.lit(1e-8)), 1 / (mae["b"] + F.lit(1e-8))
-    return rows.select("customer_id", F.round((first * wa + second * wb) / (wa + wb), 7).alias("prediction"))
+    return rows.select("customer_id", F.round(weighted_mean([first, second], [wa, wb]), 7).alias("prediction"))
 
 
 # -- trained models --------------------------------------------------------------------------
@@ -718,7 +736,7 @@ def feature_importance(spark, sf_dir):
 def shapley_sampled(spark, sf_dir):
     data = _prepared(spark, sf_dir)
     rows = explain.background_rows(data.train)
-    return explain.mean_abs(explain.shapley_values(_hurdle(data), data.test, rows, permutations=4))
+    return explain.mean_abs(explain.shapley_values(_hurdle(data), data.test, rows))
 
 
 def _explained(spark, sf_dir):
@@ -764,7 +782,7 @@ def single_score(spark, sf_dir):
 
 def evaluation_report(spark, sf_dir):
     data = _prepared(spark, sf_dir)
-    parts = training.report(_hurdle(data), data, permutations=2, samples=100)
+    parts = training.report(_hurdle(data), data)
     counted = [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows") for n, t in parts.items()]
     out = counted[0]
     for part in counted[1:]:
@@ -777,6 +795,7 @@ _QUERIES: list[Query] = [
     cleaning_audit,
     dedup_transactions,
     csv_round_trip,
+    csv_published_layout,
     parquet_round_trip,
     segment_metrics_round_trip,
     scored_round_trip,

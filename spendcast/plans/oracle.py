@@ -350,6 +350,7 @@ def statements() -> dict[str, str]:
                       round(sum(TotalAmount), 4) AS spend FROM clean GROUP BY customer_id"""
         ),
         "csv_round_trip": _sql(_per_group("strftime(InvoiceDate, '%Y-%m-%d')", "day"), _UNTIDY),
+        "csv_published_layout": _sql(_per_group("strftime(InvoiceDate, '%Y-%m-%d')", "day"), _UNTIDY),
         "parquet_round_trip": _sql(_per_group("strftime(InvoiceDate, '%Y-%m-01')", "month")),
         "segment_metrics_round_trip": _sql(_SEGMENT_METRICS),
         "scored_round_trip": _sql("SELECT * FROM bands"),

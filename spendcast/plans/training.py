@@ -129,8 +129,9 @@ def report(
     importances = explain.feature_importance(spark, model)
     if importances.isEmpty():
         return parts
-    chosen = evaluation.representatives(scored)
+    # Profiles are drawn from predicted spenders, where there are enough of them.
     cohort = evaluation.predicted_spenders(scored)
+    chosen = evaluation.representatives(cohort)
     rows = explain.background_rows(data.train, background, settings.seed)
     attributions = explain.shapley_values(model, cohort, rows, permutations, settings.seed)
     few = scored.join(F.broadcast(chosen.select("customer_id", "profile")), "customer_id")
@@ -199,11 +200,13 @@ def publish(
     """
     spark = data.table.sparkSession
     names = ("CV_MAE_Mean", "CV_MAE_Std", "Log_MAE", "Log_R2", "Dollar_MAE", "Dollar_R2", "SMAPE", "WAPE")
-    runs = [(r["Model"], {}, {n.lower(): r[n] for n in names}) for r in result.rows]
+    runs = [(r["Model"], result.params.get(r["Model"], {}), {n.lower(): r[n] for n in names}) for r in result.rows]
     tables.log_runs(spark, f"{path}/runs", experiment, runs)
     tables.write_segment_metrics(tables_of_report["segments"], f"{path}/segment_metrics")
-    tables.save_bundle(spark, tuned, f"{path}/bundle", data.defaults)
+    name = f"{experiment}_champion"
+    bundle = f"bundle/v={tables.next_version(spark, f'{path}/registry', name)}"
+    tables.save_bundle(spark, tuned, f"{path}/{bundle}", data.defaults)
     log, dollar = (tables_of_report[t].first() for t in ("log_metrics", "dollar_metrics"))
-    params = {"n_features": len(FEATURE_COLS), "feature_names": FEATURE_COLS, **chosen}
+    params = {"n_features": len(FEATURE_COLS), "feature_names": FEATURE_COLS, "bundle": bundle, **chosen}
     final = {"dollar_r2": dollar["R2"], "dollar_mae": dollar["MAE"], "log_r2": log["R2"]}
-    return tables.register_champion(spark, f"{path}/registry", f"{experiment}_champion", result.champion, params, final)
+    return tables.register_champion(spark, f"{path}/registry", name, result.champion, params, final)

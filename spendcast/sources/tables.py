@@ -72,15 +72,25 @@ def save_bundle(spark: SparkSession, model: Model, path: str, defaults: Mapping[
     meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
-def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    """Model and metadata; a missing bundle raises ``FileNotFoundError``."""
+def load_bundle(spark: SparkSession, path: str) -> tuple[Model, dict]:
+    """The model as it was saved, and its metadata; a missing bundle raises ``FileNotFoundError``."""
     try:
         meta = spark.read.schema(BUNDLE_SCHEMA).parquet(f"{path}/metadata").first()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no model bundle at {path}; train one first") from error
         raise
-    return PipelineModel.load(f"{path}/model"), meta.asDict()
+    return PipelineModel.load(f"{path}/model").stages[0], meta.asDict()
+
+
+def load_champion(spark: SparkSession, path: str, name: str, version: int | None = None) -> tuple[Model, dict]:
+    """The bundle of a registered version under ``path``, the latest without ``version``."""
+    known = read_registry(spark, f"{path}/registry").filter(F.col("name") == name)
+    chosen = known if version is None else known.filter(F.col("version") == version)
+    row = chosen.orderBy(F.desc("version"), F.desc("registered_at")).first()
+    if row is None:
+        raise FileNotFoundError(f"no version {version or ''} of {name} at {path}")
+    return load_bundle(spark, f"{path}/{row['params']['bundle']}")
 
 
 def log_runs(
@@ -108,14 +118,12 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 def register_champion(
     spark: SparkSession, path: str, name: str, champion: str, params: Mapping, metrics: Mapping
 ) -> int:
-    """Append a champion under the next version number of ``name``; returns the number."""
-    try:
-        known = read_registry(spark, path).filter(F.col("name") == name)
-        last = known.agg(F.max("version")).first()[0] or 0
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        last = 0
+    """Append a champion under the next version number of ``name``; returns the number.
+
+    Numbers are read, then written: one writer at a time. Two at once may get the same number; the
+    later time of registration then counts.
+    """
+    last = next_version(spark, path, name) - 1
     row = [
         (
             name,
@@ -131,5 +139,15 @@ def register_champion(
     return last + 1
 
 
+def next_version(spark: SparkSession, path: str, name: str) -> int:
+    try:
+        known = read_registry(spark, path).filter(F.col("name") == name)
+        return (known.agg(F.max("version")).first()[0] or 0) + 1
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return 1
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REGISTRY_SCHEMA).parquet(path)

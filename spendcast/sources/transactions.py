@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from spendcast.config import FEATURE_COLS, TRANSACTION_COLS, TRANSACTION_SCHEMA
 
@@ -15,20 +16,21 @@ def check_columns(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Transactions from CSV. A missing path or a malformed row raises.
+def read_transactions_csv(spark: SparkSession, path: str, timestamp_format: str | None = None) -> DataFrame:
+    """Transactions from CSV. A missing path, a missing column or a malformed row raises.
 
+    The header names the columns, in any order and among any others. ``timestamp_format`` is the
+    pattern of the dates, such as ``M/d/yyyy H:mm``; without it they are ISO dates and times.
     ``line_no`` keeps the position in the file (file, block start, running id inside the
     block), so that "first row wins" in deduplication means first in the file.
     """
-    df = (
-        spark.read.schema(TRANSACTION_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("encoding", "ISO-8859-1")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
+    names = check_columns(reader.csv(path)).columns  # reads the first line only
+    known = {f.name: f for f in TRANSACTION_SCHEMA}
+    layout = StructType([known.get(c, StructField(c, StringType())) for c in names])
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
+    df = reader.schema(layout).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

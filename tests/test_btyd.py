@@ -80,3 +80,12 @@ def test_fit_without_repeat_buyers_raises(spark):
     df = spark.createDataFrame([(0.0, 0.0)], "Frequency double, Monetary double")
     with pytest.raises(btyd.FitError):
         btyd.fit_values(df)
+
+
+def test_no_repeats_at_a_plus_b_of_one(spark):
+    base = spark.createDataFrame([(0.0, 0.0, 50.0), (2.0, 30.0, 50.0)], "x double, tx double, age double")
+    near, at = (
+        [r[0] for r in base.select(btyd.expected_purchases(F.col("x"), F.col("tx"), F.col("age"), k, 90.0)).collect()]
+        for k in (btyd.PurchaseParams(r=0.8, alpha=50.0, a=0.4, b=b) for b in (0.6001, 0.6))
+    )
+    assert all(abs(p - q) < 1e-3 for p, q in zip(near, at))

@@ -61,3 +61,17 @@ def test_csv_reader_keeps_file_order_and_fails_fast(spark, tmp_path):
         read_transactions_csv(spark, str(bad)).collect()
     with pytest.raises(Exception):
         read_transactions_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_csv_in_the_published_layout(spark, tmp_path):
+    path = str(tmp_path / "in.csv")
+    lines = ["Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country", '1,A,"x, y",2,12/1/2009 7:45,1.5,12345.0,UK']
+    open(path, "w").write("\n".join(lines) + "\n")
+    row = read_transactions_csv(spark, path, "M/d/yyyy H:mm").first()
+    assert (row.Invoice, row.Quantity, str(row.InvoiceDate), row.Price) == ("1", 2, "2009-12-01 07:45:00", 1.5)
+    open(path, "w").write("\n".join([*lines, "1,A,x,two,12/1/2009 7:45,1.5,1,UK"]) + "\n")
+    with pytest.raises(Exception):
+        read_transactions_csv(spark, path, "M/d/yyyy H:mm").collect()
+    open(path, "w").write("Invoice,StockCode\n1,A\n")
+    with pytest.raises(ValueError):
+        read_transactions_csv(spark, path)

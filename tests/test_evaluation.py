@@ -99,3 +99,19 @@ def test_ensemble_needs_two_members(spark):
     members = leaderboard.ensemble_members(board, min_r2=0.0).collect()
     assert sum(m["weight"] for m in members) == pytest.approx(1.0)
     assert {m["Model"]: m["weight"] for m in members}["B"] == pytest.approx(2 / 3)
+
+
+def test_histogram_counts_before_it_shuffles(spark):
+    rows = spark.range(1000).select((F.col("id") % 7).cast("double").alias("v"), (F.col("id") % 2 == 0).alias("flag"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for by in (None, "flag"):
+            plan = evaluation.histogram(rows, "v", 5, by=by)._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+            counted = evaluation.histogram(rows, "v", 5, by=by)
+            assert counted.agg(F.sum("n")).first()[0] == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    with pytest.raises(ValueError):
+        evaluation.histogram(spark.range(2000).select("id", F.lit(1.0).alias("v")), "v", 5, by="id")

@@ -3,7 +3,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from spendcast.config import FEATURE_COLS, SETTINGS
-from spendcast.operators import scoring
+from spendcast.operators import explain, scoring
 from spendcast.plans import training
 from spendcast.sources import tables, transactions
 
@@ -22,7 +22,11 @@ def test_from_raw_rows_to_a_scored_bundle(spark, sf_dir, tmp_path):
     assert training.publish(out, data, result, tuned, chosen, report) == 2
     assert tables.read_runs(spark, f"{out}/runs").count() == 6
     assert tables.read_segment_metrics(spark, f"{out}/segment_metrics").filter("N >= 5").count() >= 1
-    model, meta = tables.load_bundle(spark, f"{out}/bundle")
+    model, meta = tables.load_champion(spark, out, "spendcast_champion")
+    first, _ = tables.load_champion(spark, out, "spendcast_champion", 1)
+    assert type(first) is type(model) is type(tuned)
+    assert explain.feature_importance(spark, model).collect() == explain.feature_importance(spark, tuned).collect()
+    assert all(r.params for r in tables.read_runs(spark, f"{out}/runs").collect() if r.run != "Weighted Ensemble")
     given = data.test.select("customer_id", "Monetary", F.lit("kept").alias("note"))
     scored = scoring.score(model, given, meta["defaults"], WIDE)
     tables.write_scored(scored, f"{out}/scored")
