@@ -12,7 +12,8 @@ shingle, a text without words has none and is linked with nothing. Two documents
    then are done; in the others every document outside the list's largest component is checked
    against those of other components. No link between different components is lost, and links
    inside one cannot change it.
-4. A check is a T-occurrence search: up to ``BLOCK`` candidates of a query are put in inverted lists
+4. A check begins with the heads: what they share and what is left behind them must suffice. What
+   remains is a T-occurrence search: up to ``BLOCK`` candidates of a query are put in inverted lists
    by the query's shingles, short lists are heap-merged, long ones binary-probed for what the short
    ones found often enough.
 
@@ -38,7 +39,7 @@ from spendcast.session import materialize
 
 WORDS, PERCENT, BLOCK = 5, 80, 256
 #: Most frequent shingles that are sent to every task, and shingles counted at a time in a task.
-FREQUENT, CHUNK = 1 << 18, 3_000_000
+FREQUENT, CHUNK = 1 << 20, 2_500_000
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,7 +101,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> pd.DataFrame:
             yield settle()
 
     counted = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counted.filter("n > 3").orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
+    top = counted.filter("n > 2").orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
     return top.sort_values(["n", "shingle"])
 
 
@@ -249,8 +250,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         lists.filter((F.col("doc") != F.col("first_doc")) & may_link(percent, "n", "at", "first_n", "first_at"))
         .select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).distinct()
     )
-    meant = groups.select("doc", "print")
-    links = materialize(_checked(docs, to_first, meant, words, percent))
+    links = materialize(_checked(docs, to_first, one, words, percent))
     settled = components(links)
 
     marked = entries.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
@@ -270,7 +270,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
     pair = across.select(F.greatest("doc", "other_doc").alias("a"), F.least("doc", "other_doc").alias("b")).distinct()
     rest = materialize(pair.join(to_first, ["a", "b"], "left_anti"))
-    linked = components(links.union(materialize(_checked(docs, rest, meant, words, percent))))
+    linked = components(links.union(materialize(_checked(docs, rest, one, words, percent))))
 
     final = groups.join(linked.withColumnRenamed("node", "doc"), "doc", "left").select(
         "print", F.coalesce("component", "doc").alias("component_id")
@@ -281,11 +281,31 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
-def _checked(docs: DataFrame, pairs: DataFrame, meant: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b) those that link. ``meant`` names the text of each doc by its print."""
-    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
-    sets = materialize(sets_of(docs, materialize(ids.join(meant, "doc")), words))
-    return verified(pairs, sets, percent)
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
+
+
+def plausible(pairs: DataFrame, one: DataFrame, percent: int) -> DataFrame:
+    """Of ``pairs`` (a, b) those whose heads share enough.
+
+    All shingles that two sets share come, but for those behind the head that ends first, from both
+    heads; so linked sets share at least their need less what the longer rest may hold.
+    """
+    heads = one.join(checked_broadcast(materialize(_ids(pairs))), "doc", "left_semi").select("doc", "n", "head")
+    heads = materialize(heads)
+    of = lambda c: heads.select(*(F.col(x).alias(y) for x, y in (("doc", c), ("n", f"n_{c}"), ("head", f"head_{c}"))))
+    rest = F.greatest(F.col("n_a") - F.size("head_a"), F.col("n_b") - F.size("head_b"))
+    both = (100 + percent) * (F.size(F.array_intersect("head_a", "head_b")) + rest)
+    near = pairs.join(of("a"), "a").join(of("b"), "b").filter(both >= percent * (F.col("n_a") + F.col("n_b")))
+    return near.select("a", "b").distinct()
+
+
+def _checked(docs: DataFrame, pairs: DataFrame, one: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of ``pairs`` (a, b) those that link. ``one`` describes the text that each doc stands for."""
+    near = materialize(plausible(pairs, one, percent))
+    meant = one.select("doc", "print")
+    sets = materialize(sets_of(docs, materialize(meant.join(checked_broadcast(materialize(_ids(near))), "doc", "left_semi").distinct()), words))
+    return verified(near, sets, percent)
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
