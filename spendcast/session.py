@@ -36,6 +36,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Folders of the tables that ``materialize`` wrote in this process.
+_written: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far; results that were not saved can't be read afterwards."""
+    hadoop, deleted = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        deleted += path.getFileSystem(hadoop).delete(path, True)
+    return deleted
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -44,4 +57,5 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,3 +45,13 @@ def test_test_customers_never_change_train_features(spark, sf_dir):
         for b in (base, changed)
     )
     assert first == second
+
+
+def test_intermediate_tables_can_be_deleted(spark, tmp_path):
+    from spendcast.session import clear_scratch, materialize
+
+    kept = materialize(spark.range(5)).inputFiles()
+    assert clear_scratch(spark) > 0 and clear_scratch(spark) == 0
+    import os
+
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in kept)
