@@ -8,8 +8,8 @@ Texts are UTF-8 bytes, null is empty, and strings never cross documents.
    bucket. Neighbouring strings of a document mostly share one anchor; such a stretch is a segment.
 2. Segments whose anchor occurs once are done. Equal segments are one from here on, and a segment
    with a copy is repeated from end to end.
-3. The distinct segments of a bucket are laid end to end, some thousand bytes at a time, and their
-   suffixes sorted by ``suffix_array``. A string is repeated if it equals that of the suffix before
+3. The distinct segments of buckets are laid end to end, without what can't be repeated and with what
+   all share as one symbol, and their suffixes sorted by ``suffix_array``. A string is repeated if it equals that of the suffix before
    or after it in order.
 4. A bucket with more than ``BUCKET`` distinct segments is split: its strings go to buckets of their
    own, by hash, and are counted there.
@@ -36,7 +36,7 @@ from spendcast.session import materialize
 
 LENGTH, GRAM = 200, 32
 #: Distinct segments up to which a bucket is sorted whole, and bytes that are sorted at a time.
-BUCKET, CHUNK = 1000, 50_000
+BUCKET, CHUNK = 1000, 100_000
 
 _BYTE = np.random.default_rng(17).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -106,32 +106,83 @@ def segments(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nd
     return first[order], final[order], place[order], value[order]
 
 
-def repeated_starts(members: list[tuple[bytes, int]], length: int = LENGTH) -> list[list[int]]:
-    """For each member (bytes, number of strings), the starts whose string occurs again among them."""
+def _shared_prefix(a: bytes, b: bytes) -> int:
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:  # a and b agree up to low, not up to high
+        middle = (low + high) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle)
+    return low
+
+
+def _longest_shared(texts: list[bytes]) -> list[int]:
+    """For every text the longest prefix it has in common with any other: that of a neighbour in order."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    out = [0] * len(texts)
+    for i, j in zip(order, order[1:]):
+        n = _shared_prefix(texts[i], texts[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
+def repeated_starts(buckets: list[list[tuple[bytes, int]]], anchors: list[np.uint64], length: int = LENGTH, gram: int = GRAM) -> list[list[list[int]]]:
+    """For each member (bytes, number of strings) of each bucket, the starts whose string another member has, too.
+
+    Members agree around their anchor. Counted back from it, a string can only begin where the member
+    shares both what lies before and what lies behind with some other; the bytes that all strings left
+    in a bucket contain stand as one symbol, equal for equal bytes, so that suffixes are sorted by what
+    can differ. Ends of members are symbols of their own.
+    """
+    found = [[[] for _ in own] for own in buckets]
+    rows: list[tuple] = []  # bucket, member, first start, starts, left, middle, right, symbols of a string
+    middles: dict[tuple, int] = {}
+    for number, (own, anchor) in enumerate(zip(buckets, anchors)):
+        data, strings = own[0]
+        hashes = _rolled(np.frombuffer(data, np.uint8), gram)
+        at = strings - 1 + int(np.flatnonzero(hashes[strings - 1 :] == anchor)[0])
+        word = data[at : at + gram]
+        places = [d.find(word, n - 1) for d, n in own]
+        ahead = _longest_shared([d[p:] for (d, _), p in zip(own, places)])
+        behind = _longest_shared([d[:p][::-1] for (d, _), p in zip(own, places)])
+        # Distances from the anchor back to a string's start.
+        near = [max(p - n + 1, length - r) for (_, n), p, r in zip(own, places, ahead)]
+        far = [min(p, r) for p, r in zip(places, behind)]
+        left_over = [i for i in range(len(own)) if near[i] <= far[i]]
+        if len(left_over) < 2:
+            continue
+        low, high = min(near[i] for i in left_over), max(far[i] for i in left_over)
+        for i in left_over:
+            data, place = own[i][0], places[i]
+            middle = middles.setdefault((number, data[place - low : place - high + length]), len(middles))
+            left, right = data[place - far[i] : place - low], data[place - high + length : place - near[i] + length]
+            rows.append((number, i, place - far[i], far[i] - near[i] + 1, left, middle, right, high - low + 1))
+    ends = len(rows)
     text: list[int] = []
     owner: list[int] = []
-    base = len(members)
-    for i, (data, _) in enumerate(members):
-        owner += [i] * (len(data) + 1)
-        text += [b + base for b in data]
-        text.append(base - 1 - i)  # a different end for every member, the least one at the very end
-    offset, at = [], 0
-    for data, _ in members:
-        offset.append(at)
-        at += len(data) + 1
-    found: list[set[int]] = [set() for _ in members]
-    before, before_at = None, None
-    for suffix in suffix_array(text):
-        i = owner[suffix]
-        start = suffix - offset[i]
-        data, strings = members[i]
-        if start < strings:
-            string = data[start : start + length]
+    offset: list[int] = []
+    for k, (_, _, _, _, left, middle, right, _) in enumerate(rows):
+        offset.append(len(text))
+        text += [b + ends for b in left]
+        text.append(ends + 256 + middle)
+        text += [b + ends for b in right]
+        text.append(ends - 1 - k)  # the least one at the very end
+        owner += [k] * (len(text) - offset[k])
+    before, before_at = None, (0, 0)
+    hit: list[set[int]] = [set() for _ in rows]
+    for suffix in suffix_array(text) if rows else ():
+        k = owner[suffix]
+        start = suffix - offset[k]
+        _, _, _, starts, left, middle, right, symbols = rows[k]
+        if start < starts:
+            string = (left[start:], middle, right[: symbols - 1 - len(left) + start])
             if string == before:
-                found[i].add(start)
-                found[before_at[0]].add(before_at[1])
-            before, before_at = string, (i, start)
-    return [sorted(x) for x in found]
+                hit[k].add(start)
+                hit[before_at[0]].add(before_at[1])
+            before, before_at = string, (k, start)
+    for (number, i, first, *_), own in zip(rows, hit):
+        found[number][i] = sorted(first + x for x in own)
+    return found
 
 
 def _runs(starts: list[int]) -> list[tuple[int, int]]:
@@ -203,31 +254,36 @@ def _with_bytes(docs: DataFrame, members: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _sorted_spans(members: DataFrame, length: int) -> DataFrame:
+def _sorted_spans(members: DataFrame, length: int, gram: int) -> DataFrame:
     """Repeated stretches (row, start, stop) among members of equal anchors, by suffix arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
+        waiting: list[list[tuple]] = []  # buckets of (anchor, row, first, last, data)
         size = 0
 
         def settle() -> pa.RecordBatch:
             rows, starts, stops = [], [], []
-            found = repeated_starts([(data, last - first + 1) for _, _, first, last, data in waiting], length)
-            for (_, row, first, _, _), own in zip(waiting, found):
-                for a, b in _runs(own):
-                    rows.append(row)
-                    starts.append(first + a)
-                    stops.append(first + b + length)
+            found = repeated_starts(
+                [[(m[4], m[3] - m[2] + 1) for m in own] for own in waiting],
+                [np.int64(own[0][0]).view(np.uint64) for own in waiting], length, gram,
+            )
+            for bucket, each in zip(waiting, found):
+                for (_, row, first, _, _), own in zip(bucket, each):
+                    for a, b in _runs(own):
+                        rows.append(row)
+                        starts.append(first + a)
+                        stops.append(first + b + length)
             columns = [pa.array(rows, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())]
             return pa.RecordBatch.from_arrays(columns, names=["row", "start", "stop"])
 
         for batch in batches:
             for member in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                # Buckets come one after the other; a chunk ends only between two.
-                if size > CHUNK and waiting[-1][0] != member[0]:
-                    yield settle()
-                    waiting, size = [], 0
-                waiting.append(member)
+                if not waiting or waiting[-1][0][0] != member[0]:  # buckets come one after the other
+                    if size > CHUNK:
+                        yield settle()
+                        waiting, size = [], 0
+                    waiting.append([])
+                waiting[-1].append(member)
                 size += len(member[4])
         if waiting:
             yield settle()
@@ -271,7 +327,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     members = distinct.filter("mixed").select("gram", "print", "one.row", "one.first", "one.last")
     full = members.groupBy("gram").agg(F.count("*").alias("many")).filter(F.col("many") > BUCKET).select("gram")
     data = materialize(_with_bytes(docs, members, length))
-    usual = _sorted_spans(data.join(full, "gram", "left_anti"), length)
+    usual = _sorted_spans(data.join(full, "gram", "left_anti"), length, gram)
     hot = _counted_spans(data.join(full, "gram", "left_semi"), length)
     return whole.union(usual).union(hot)
 

@@ -48,10 +48,25 @@ def test_segments_cover_every_string_once(alphabet):
 
 def test_repeated_starts_equal_counting():
     rng = random.Random(4)
-    members = [bytes(rng.choices(b"ab", k=rng.randint(8, 30))) for _ in range(30)]
-    strings = [m[i : i + 8] for m in members for i in range(len(m) - 7)]
-    wanted = [[i for i in range(len(m) - 7) if strings.count(m[i : i + 8]) > 1] for m in members]
-    assert suffix_dedup.repeated_starts([(m, len(m) - 7) for m in members], 8) == wanted
+    for alphabet, n in ((b"ab", 30), (b"abcd", 300), (b"a", 12)):
+        base = bytes(rng.choices(alphabet, k=n))
+        texts = [base[rng.randint(0, n // 2) :] + bytes(rng.choices(alphabet, k=n // 2)) for _ in range(12)]
+        strings = [t[i : i + 10] for t in texts for i in range(len(t) - 9)]
+        buckets = {}
+        for k, text in enumerate(texts):
+            for first, last, place, value in zip(*suffix_dedup.segments(text, 10, 4)):
+                buckets.setdefault(value, {}).setdefault((text[first : last + 10], int(place - first)), []).append((k, int(first)))
+        got = set()
+        for own in buckets.values():
+            for (data, _), at in own.items():
+                if len(at) > 1:
+                    got |= {(k, first + i) for k, first in at for i in range(len(data) - 9)}
+        several = {v: own for v, own in buckets.items() if len(own) > 1}
+        members = [[(data, len(data) - 9) for data, _ in own] for own in several.values()]
+        for own, each in zip(several.values(), suffix_dedup.repeated_starts(members, list(several), 10, 4)):
+            for at, starts in zip(own.values(), each):
+                got |= {(k, first + i) for k, first in at for i in starts}
+        assert got == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 9) if strings.count(t[i : i + 10]) > 1}
 
 
 def test_counting_quotient_filters_lose_nothing():
