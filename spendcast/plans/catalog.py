@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spendcast.config import CAPPED_COLS, FEATURE_COLS, SETTINGS
 from spendcast.models import selection, zoo
-from spendcast.models.baselines import MeanRegressor
+from spendcast.models.baselines import MeanRegressor, PurchaseValueModel
 from spendcast.models.ensemble import EnsembleModel, weighted_mean
 from spendcast.operators import (
     btyd,
@@ -426,6 +426,15 @@ def naive_mean_baseline(spark, sf_dir):
     return _round(model.transform(base).select("customer_id", "prediction"), 8, "prediction")
 
 
+def ensemble_of_baselines(spark, sf_dir):
+    """The ensemble model itself, over the two baselines that SQL can express."""
+    base = _split(spark, sf_dir)
+    mean = MeanRegressor(labelCol="log_target").fit(base.filter("split = 'train'"))
+    estimated = btyd.add_estimates(base, PURCHASES, _values(base))
+    ensemble = EnsembleModel([mean, PurchaseValueModel()], [0.7, 0.3], ["mean", "btyd"])
+    return _round(ensemble.transform(estimated).select("customer_id", "prediction"), 7, "prediction")
+
+
 def bgnbd_fit(spark, sf_dir):
     k = btyd.fit_purchases(_split(spark, sf_dir).filter("split = 'train'"))
     row = [(k.r, k.alpha, k.a, k.b, k.penalty, k.objective)]
@@ -833,6 +842,7 @@ _QUERIES: list[Query] = [
     expected_purchases,
     btyd_baseline,
     naive_mean_baseline,
+    ensemble_of_baselines,
     bgnbd_fit,
     gg_fit,
     metric_bundle,

@@ -466,6 +466,12 @@ def statements() -> dict[str, str]:
                 FROM ({_PURCHASES.format(digits=14)}) JOIN
                      (SELECT customer_id, {_VALUE.format(mean=_GLOBAL)} AS value FROM alive) USING (customer_id)"""
         ),
+        "ensemble_of_baselines": _sql(
+            f"""SELECT customer_id, round((CAST(0.7 AS DOUBLE) * {mean_train} + CAST(0.3 AS DOUBLE)
+                         * ln(1 + greatest(Prob_Pred_Txn * value, CAST(0 AS DOUBLE)))) / (CAST(0.7 AS DOUBLE) + CAST(0.3 AS DOUBLE)), 7) AS prediction
+                FROM ({_PURCHASES.format(digits=14)}) JOIN
+                     (SELECT customer_id, {_VALUE.format(mean=_GLOBAL)} AS value FROM alive) USING (customer_id)"""
+        ),
         "naive_mean_baseline": _sql(f"SELECT customer_id, round({mean_train}, 8) AS prediction FROM split"),
         "metric_bundle": _sql(
             f"SELECT count(*) AS N, {_metrics('actual', 'predicted', ('RMSE', 'MAE', 'R2', 'WAPE', 'SMAPE'), '', 4)} FROM scored"
