@@ -36,7 +36,7 @@ from spendcast.session import materialize
 
 LENGTH, GRAM = 200, 32
 #: Distinct segments up to which a bucket is sorted whole, and bytes that are sorted at a time.
-BUCKET, CHUNK = 1000, 100_000
+BUCKET, CHUNK = 5000, 80_000
 
 _BYTE = np.random.default_rng(17).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTOR = 0x9E3779B97F4A7C15
