@@ -99,33 +99,55 @@ def running_total(df: DataFrame, order: list[str], value: str, into: str, within
     )
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Connected components of undirected ``links`` (columns ``a``, ``b``): rows (``node``, ``component``).
 
-    The component is the smallest node. Every round each node takes the smallest label among its own,
-    its neighbours' and that of the node its label names (a jump), so long chains halve. Labels are
-    written between rounds; only the number of changed labels reaches the driver.
+    The component is the smallest node. In every round each node points to its smallest neighbour, so
+    pointers end in pairs that point to each other, and the smaller of a pair is a root. Pointers jump
+    until all name a root, and the links between roots are the next round's. Each root stands for two
+    nodes at least: rounds and jumps are logarithmic for any order of ids, and tables halve. They are
+    written between steps; only whether any row is left reaches the driver.
     """
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")))
-    for _ in range(rounds):
-        near = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        step = materialize(
-            labels.join(near, "node").join(jump, "label", "left")
-            .select("node", F.least("label", "near", "far").alias("new"), "label")
+
+    def ahead(pointers: DataFrame) -> DataFrame:
+        return pointers.select(F.col("node").alias("to"), F.col("to").alias("far"))
+
+    edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    levels = []
+    while not levels or edges.limit(1).count():
+        both = edges.union(edges.select("b", "a")).withColumnRenamed("a", "node")
+        # A node that is linked with itself only is its own root.
+        other = F.min(F.when(F.col("b") != F.col("node"), F.col("b"))).alias("to")
+        nearest = materialize(both.groupBy("node").agg(other).withColumn("to", F.coalesce("to", "node")))
+        first = (F.col("far") == F.col("node")) & (F.col("node") < F.col("to"))
+        pointers = materialize(
+            nearest.join(ahead(nearest), "to").select("node", F.when(first, F.col("node")).otherwise(F.col("to")).alias("to"))
         )
-        changed = step.filter("new < label").limit(1).count()
-        old, labels = labels, step.select("node", F.col("new").alias("label"))
-        drop_table(old)
-        if not changed:
-            drop_table(both)
-            return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"no stable components after {rounds} rounds")
+        drop_table(nearest)
+        moving = True
+        while moving:
+            jumped = materialize(pointers.join(ahead(pointers), "to").select("node", F.col("far").alias("to"), (F.col("to") != F.col("far")).alias("moved")))
+            moving = bool(jumped.filter("moved").limit(1).count())
+            drop_table(pointers)
+            pointers = jumped.select("node", "to")
+        levels.append(pointers)
+        root = lambda c: pointers.select(F.col("node").alias(c), F.col("to").alias(f"root_{c}"))  # noqa: B023, E731
+        a, b = F.col("root_a"), F.col("root_b")
+        between = edges.join(root("a"), "a").join(root("b"), "b").filter(a != b)
+        contracted = materialize(between.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
+        drop_table(edges)
+        edges = contracted
+    drop_table(edges)
+    labels = levels.pop()
+    while levels:
+        lower, upper = levels.pop(), labels
+        labels = materialize(lower.join(ahead(upper), "to", "left").select("node", F.coalesce("far", "to").alias("to")))
+        drop_table(lower)
+        drop_table(upper)
+    low = labels.groupBy("to").agg(F.min("node").alias("low")).filter("low < to")
+    named = materialize(labels.join(low, "to", "left").select("node", F.coalesce("low", "to").alias("component")))
+    drop_table(labels)
+    return named
 
 
 #: Ids that are sent to every task instead of shuffling the other side (8 bytes each).

@@ -321,6 +321,18 @@ def test_components(spark):
     assert got == label
 
 
+def test_components_of_long_chains_in_random_order(spark):
+    """A chain, one with links to two neighbours each way, and nodes that are linked with themselves only."""
+    rng = random.Random(4)
+    ids = rng.sample(range(10**6), 2500)
+    chain, wide, alone = ids[:1500], ids[1500:2480], ids[2480:]
+    links = list(zip(chain, chain[1:])) + list(zip(wide, wide[1:])) + list(zip(wide, wide[2:])) + list(zip(alone, alone))
+    links = [link if rng.random() < 0.5 else link[::-1] for link in links]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: min(own) for own in (chain, wide, *([x] for x in alone)) for x in own}
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_pipeline_on_awkward_rows(spark, docs, empty):
     own = docs
     for name, stage in corpus_pipeline.STAGES:
