@@ -268,6 +268,22 @@ def test_classifiers(spark, docs, empty, operator, label, bad):
     assert operator.score(empty, operator.fit(empty, labels), ["doc_id"]).count() == 0
 
 
+def test_toxic_words_may_be_rare(spark):
+    """Forty toxic words, each in about one of forty toxic texts."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("jkqvxyz") for _ in range(12)) for _ in range(40)]
+    rows, labels = [], []
+    for i in range(1800):
+        toxic = rng.random() < 0.3
+        rows.append((i, prose(rng, 60).replace(" ", f" {rng.choice(words)} ", 3 if toxic else 0)))
+        labels.append((i, int(toxic)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(texts, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    aside = [(t, y) for (i, t), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 3 == 1]
+    scores = model.score([t for t, _ in aside])
+    assert np.mean([(s >= 0.5) == y for s, (_, y) in zip(scores, aside)]) > 0.9
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(1500, 12)) + rng.normal(size=(10, 12))[rng.integers(0, 10, 1500)] * 2
