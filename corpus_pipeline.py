@@ -39,8 +39,8 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the texts, placed in sequences of 2048 tokens."""
-    return packing.pieces(packing.pack(docs, vocabulary("word_bpe_49k.json")))
+    """Pieces of the texts with their token ids (32-bit, little-endian), placed in sequences of 2048 tokens."""
+    return packing.pieces(packing.pack(docs, vocabulary("word_bpe_49k.json")), with_ids=True)
 
 
 STAGES = [

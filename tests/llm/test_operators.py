@@ -362,6 +362,12 @@ def test_pipeline_on_awkward_rows(spark, docs, empty):
     assert rest.count() == 0
 
 
+def test_pipeline_ends_in_token_ids(spark, docs, empty):
+    got = corpus_pipeline.pack(spark, docs, None).collect()
+    assert got and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
+    assert "ids" in corpus_pipeline.pack(spark, empty, None).columns
+
+
 def test_pipeline_by_plain_definitions(spark, sf_dir):
     """Every stage on all that the one before kept, by brute force; only the language model is taken as it is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
