@@ -52,7 +52,7 @@ def test_hurdle_survives_saving(fitted, customers, spark, tmp_path):
     tables.save_bundle(spark, fitted, str(tmp_path / "bundle"), {"Recency": 2.0})
     loaded, meta = tables.load_bundle(spark, str(tmp_path / "bundle"))
     assert meta["feature_names"] == FEATURE_COLS and meta["defaults"] == {"Recency": 2.0}
-    assert isinstance(loaded.stages[0], HurdleModel)
+    assert isinstance(loaded, HurdleModel)
     before, after = (m.transform(customers).select("customer_id", "prediction") for m in (fitted, loaded))
     assert sorted(before.collect()) == sorted(after.collect())
     with pytest.raises(FileNotFoundError):
@@ -68,10 +68,27 @@ def test_few_spenders_use_the_mean(customers):
     assert model.getOrDefault(model.fallback) == pytest.approx(expected)
 
 
-def test_balanced_weights():
-    assert hurdle(balance="balanced")._weights(10, 2) == (10 / 16, 10 / 4)
-    assert hurdle(balance="positive")._weights(10, 2) == (1.0, 4.0)
-    assert hurdle(balance="positive")._weights(10, 8) == (1.0, 1.0)
+class Recorder(GBTClassifier):
+    """Notes the class weights that it is fitted with."""
+
+    def _fit(self, dataset):
+        Recorder.seen = {r["_spends"]: r["_weight"] for r in dataset.select("_spends", "_weight").distinct().collect()}
+        return super()._fit(dataset)
+
+
+@pytest.mark.parametrize(
+    "balance, spenders, others, expected",
+    [("balanced", 4, 12, (16 / 24, 16 / 8)), ("positive", 4, 12, (1.0, 3.0)), ("positive", 9, 3, (1.0, 1.0)), ("none", 4, 12, (1.0, 1.0))],
+)
+def test_class_weights(customers, balance, spenders, others, expected):
+    rows = customers.filter("Next_3M_Spend > 0").limit(spenders).unionByName(customers.filter("Next_3M_Spend = 0").limit(others))
+    HurdleRegressor(
+        classifier=Recorder(maxIter=1, maxDepth=1),
+        regressor=LinearRegression(regParam=0.1),
+        labelCol="log_target",
+        balance=balance,
+    ).fit(materialize(rows))
+    assert (Recorder.seen[0.0], Recorder.seen[1.0]) == pytest.approx(expected)
 
 
 def test_held_out_calibration(customers):
