@@ -27,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.llm import context_tree
-from spendcast.llm.common import LOWER, UPPER, partitions
+from spendcast.llm.common import LOWER, UPPER, drop_table, partitions
 from spendcast.session import materialize
 
 #: Bytes of context. A gram and the number of its text have to fit 64 bits, so at most five.
@@ -71,17 +72,18 @@ def steps(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, list[tup
         yield np.array(owners), pieces
 
 
-class BlockLists:
-    """Distinct words and grams of a block, with their counts in the rows to learn from."""
+class Block:
+    """Rows of a block, packed, and its distinct words and grams with their counts in the rows to learn from."""
 
-    def __init__(self, depth: int):
-        self.depth, self.size = depth, 0
+    def __init__(self, number: int, depth: int):
+        self.number, self.depth, self.size = number, depth, 0
         self.words: Counter = Counter()
         self.other_words: set[bytes] = set()
+        self.ids: list = []
         self.texts: dict[bool, list[bytes]] = {True: [], False: []}
         self.waiting, self.found = 0, []
 
-    def add(self, text: bytes, words: list[bytes], learn: bool) -> None:
+    def add(self, doc_id, words: list[bytes], text: bytes, learn: bool) -> None:
         if learn:
             self.words.update(words)
             self.words[END] += 1
@@ -89,24 +91,26 @@ class BlockLists:
             self.other_words.update(words)
             self.other_words.add(END)
         self.texts[learn].append(text)
+        self.ids.append((learn, doc_id))
         self.size += len(text)
         self.waiting += len(text)
-        if self.waiting >= STEP:
-            self._count()
 
-    def _count(self) -> None:
+    def pack(self) -> tuple[list, list[int], bytes]:
+        """The rows that wait: ids, lengths and compressed texts. Their grams are counted on the way."""
         for learn, texts in self.texts.items():
             for _, pieces in steps(texts, self.depth):
                 gram, n = np.unique(context_tree.grams(pieces, self.depth), return_counts=True)
                 self.found.append((gram, n * learn))
-            texts.clear()
-        self.waiting = 0
-        if sum(len(f[0]) for f in self.found) > 4 << 20:
+        if sum(len(f[0]) for f in self.found) > 2 << 20:
             self.found = [_summed(self.found)]
+        both = self.texts[True] + self.texts[False]
+        ids = [i for wanted in (True, False) for learn, i in self.ids if learn == wanted]
+        packed = zstandard.ZstdCompressor(level=3).compress(b"".join(both))
+        self.ids, self.texts, self.waiting = [], {True: [], False: []}, 0
+        return ids, list(map(len, both)), packed
 
-    def rows(self) -> list[tuple[str, bytes, bytes, int, list[int]]]:
+    def lists(self) -> list[tuple[str, bytes, bytes, int, list[int]]]:
         """(kind, keys, counts, number of keys, marks): words in the order of their crc32, grams sorted."""
-        self._count()
         words = sorted((zlib.crc32(w), w) for w in self.other_words | self.words.keys())
         counts = np.array([self.words.get(w, 0) for _, w in words], np.int64)
         gram, n = _summed(self.found)
@@ -124,40 +128,46 @@ def _summed(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return gram, np.bincount(place, np.concatenate([x[1] for x in lists]), len(gram)).astype(np.int64)
 
 
-def _blocks(docs: DataFrame, learn: Column, depth: int, block: int) -> DataFrame:
-    """One written table of texts (kind null) and of the lists of every block."""
+def _blocks(docs: DataFrame, learn: Column, depth: int, size: int) -> DataFrame:
+    """One written table of packed rows (kind null) and of the lists of every block."""
+    id_kind = dict(docs.dtypes)["doc_id"]
+    schema = f"block long, ids array<{id_kind}>, lengths array<long>, texts binary, kind string, keys binary, counts binary, n long, marks array<long>"
+    names = ["block", "ids", "lengths", "texts", "kind", "keys", "counts", "n", "marks"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, lists = TaskContext.get().partitionId() << 32, BlockLists(depth)
+        block = Block(TaskContext.get().partitionId() << 32, depth)
+        kinds = None
 
-        def listed() -> pa.RecordBatch:
-            kinds, keys, counts, n, marks = zip(*lists.rows())
-            columns = [
-                pa.array([number] * 2, pa.int64()), pa.nulls(2, id_type), pa.nulls(2, pa.binary()), pa.array(kinds),
-                pa.array(keys, pa.binary()), pa.array(counts, pa.binary()), pa.array(n, pa.int64()), pa.array(marks, pa.list_(pa.int64())),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+        def row(**values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([values.get(n)], kinds[n]) for n in names], names=names)
+
+        def packed() -> pa.RecordBatch:
+            ids, lengths, texts = block.pack()
+            return row(block=block.number, ids=ids, lengths=lengths, texts=texts)
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if block.waiting:
+                yield packed()
+            for kind, keys, counts, n, marks in block.lists():
+                yield row(block=block.number, kind=kind, keys=keys, counts=counts, n=n, marks=marks)
 
         for batch in batches:
-            id_type = batch.column(0).type
-            texts, blocks = [], []
-            for text, learnt in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            kinds = kinds or {
+                "block": pa.int64(), "ids": pa.list_(batch.column(0).type), "lengths": pa.list_(pa.int64()), "texts": pa.binary(), "kind": pa.string(),
+                "keys": pa.binary(), "counts": pa.binary(), "n": pa.int64(), "marks": pa.list_(pa.int64()),
+            }
+            for doc_id, text, learnt in zip(*(c.to_pylist() for c in batch.columns)):
                 words = normal_words(text)
-                texts.append(as_bytes(words))
-                if lists.size and lists.size + len(texts[-1]) > block:
-                    yield listed()
-                    number, lists = number + 1, BlockLists(depth)
-                lists.add(texts[-1], words, learnt)
-                blocks.append(number)
-            n = len(texts)
-            rest = [pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), batch.column(0), pa.array(texts, pa.binary()), *rest], names=names)
-        if lists.size:
-            yield listed()
-
-    names = ["block", "doc_id", "text", "kind", "keys", "counts", "n", "marks"]
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"block long, doc_id {kind}, text binary, kind string, keys binary, counts binary, n long, marks array<long>"
+                text = as_bytes(words)
+                if block.size and block.size + len(text) > size:
+                    yield from ended()
+                    block = Block(block.number + 1, depth)
+                block.add(doc_id, words, text, learnt)
+                if block.waiting >= STEP:
+                    yield packed()
+        if block.size:
+            yield from ended()
+
     rows = docs.select("doc_id", F.col("text").cast("binary"), F.coalesce(learn, F.lit(False)))
     return materialize(rows.mapInArrow(run, schema))
 
@@ -246,8 +256,12 @@ def _shared_nodes(asked: DataFrame, depth: int) -> list[list[dict[str, np.ndarra
 def _score_block(depth: int, learnt: float, distinct: float):
     """Scores of a block's texts from the values of its grams and words."""
 
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        own = texts["text"].to_pylist()
+    def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
+        own, opened = [], zstandard.ZstdDecompressor()
+        for lengths, packed in zip(packs["lengths"].to_pylist(), packs["texts"].to_pylist()):
+            data, ends = opened.decompress(packed), np.cumsum(lengths).tolist()
+            own += [data[a:b] for a, b in zip([0, *ends], ends)]
+        ids = pa.chunked_array([c.flatten() for c in packs["ids"].chunks], packs["ids"].type.value_type)
         packets = sorted(zip(answers["kind"].to_pylist(), answers["keys"].to_pylist(), answers["values"].to_pylist()), key=lambda p: p[0])
         grams = [(np.frombuffer(k, np.int64), np.frombuffer(v, float)) for kind, k, v in packets if kind == "gram"]
         gram, value = (np.concatenate([g[i] for g in grams]) for i in (0, 1))
@@ -283,7 +297,7 @@ def _score_block(depth: int, learnt: float, distinct: float):
             base.append(float(cost[place].sum()))
         sizes = np.fromiter(map(len, own), np.int64, len(own))
         bits = -score / np.log10(2) / sizes
-        columns = [texts["doc_id"], *(pa.array(c, pa.int64()) for c in (tokens, n_known)), *(pa.array(c, pa.float64()) for c in (base, score, bits))]
+        columns = [ids, *(pa.array(c, pa.int64()) for c in (tokens, n_known)), *(pa.array(c, pa.float64()) for c in (base, score, bits))]
         return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score", "bits_per_byte"])
 
     return run
@@ -324,10 +338,11 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, block: int = BLOCK
 
     answered.append(asked.groupBy("part").applyInArrow(lambda t: _answers(t, "gram", gram_values), ANSWER))
     answers = materialize(answered[0].unionByName(answered[1]))
+    drop_table(asked)
     counted = lists.filter("kind = 'word'").select("counts").mapInArrow(_count_sums, "total long")
     learnt = counted.agg(F.sum("total")).first()[0] or 0
     distinct = answers.filter("block is null").select("values").mapInArrow(_value_sums, "total double").agg(F.sum("total")).first()[0] or 0
-    own = table.filter(F.col("kind").isNull()).select("block", "doc_id", "text")
+    own = table.filter(F.col("kind").isNull()).select("block", "ids", "lengths", "texts")
     kind = dict(docs.dtypes)["doc_id"]
     scored = own.groupBy("block").cogroup(answers.filter("block is not null").groupBy("block")).applyInArrow(
         _score_block(depth, float(learnt), float(distinct)),
