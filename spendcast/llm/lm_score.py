@@ -38,7 +38,7 @@ from spendcast.session import materialize
 #: Bytes of context. A gram and the number of its text have to fit 64 bits, so at most five.
 DEPTH = 5
 #: Bytes of text in a block, and in a step of counting inside it.
-BLOCK, STEP = 32 << 20, 2 << 20
+BLOCK, STEP = 32 << 20, 1 << 20
 #: Listed grams that a range gets from all blocks, about.
 RANGE_GRAMS = 500_000
 #: Grams of a range that are weighed together, and marks that a list carries to place the ranges.
@@ -72,6 +72,23 @@ def steps(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, list[tup
         yield np.array(owners), pieces
 
 
+def squeezed(data: bytes | np.ndarray, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data if isinstance(data, bytes) else data.tobytes())
+
+
+def opened(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def packed_keys(keys, kind: str) -> bytes:
+    """Words joined by spaces, sorted grams as their differences, compressed."""
+    return squeezed(b" ".join(keys) if kind == "word" else np.diff(keys, prepend=0))
+
+
+def unpacked(keys: bytes, kind: str):
+    return opened(keys, np.uint8).tobytes().split(b" ") if kind == "word" else np.cumsum(opened(keys))
+
+
 class Block:
     """Rows of a block, packed, and its distinct words and grams with their counts in the rows to learn from."""
 
@@ -101,11 +118,11 @@ class Block:
             for _, pieces in steps(texts, self.depth):
                 gram, n = np.unique(context_tree.grams(pieces, self.depth), return_counts=True)
                 self.found.append((gram, n * learn))
-        if sum(len(f[0]) for f in self.found) > 2 << 20:
+        if sum(len(f[0]) for f in self.found) > 1 << 20:
             self.found = [_summed(self.found)]
         both = self.texts[True] + self.texts[False]
         ids = [i for wanted in (True, False) for learn, i in self.ids if learn == wanted]
-        packed = zstandard.ZstdCompressor(level=3).compress(b"".join(both))
+        packed = squeezed(b"".join(both), 3)
         self.ids, self.texts, self.waiting = [], {True: [], False: []}, 0
         return ids, list(map(len, both)), packed
 
@@ -116,8 +133,8 @@ class Block:
         gram, n = _summed(self.found)
         places = np.linspace(0, len(gram) - 1, MARKS).astype(int)
         return [
-            ("word", b" ".join(w for _, w in words), counts.tobytes(), len(words), []),
-            ("gram", gram.tobytes(), n.tobytes(), len(gram), gram[places].tolist()),
+            ("word", packed_keys([w for _, w in words], "word"), squeezed(counts), len(words), []),
+            ("gram", packed_keys(gram, "gram"), squeezed(n), len(gram), gram[places].tolist()),
         ]
 
 
@@ -179,14 +196,14 @@ def _asked(lists: DataFrame, kind: str, place) -> DataFrame:
         for batch in batches:
             out: dict[str, list] = {"block": [], "part": [], "keys": [], "counts": []}
             for block, packed, counted in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, counts = unpacked(packed, kind), np.frombuffer(counted, np.int64)
+                keys, counts = unpacked(packed, kind), opened(counted)
                 part = place(keys)
                 starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
                 for a, b in zip(starts, np.r_[starts[1:], len(part)]):
                     out["block"].append(block)
                     out["part"].append(int(part[a]))
                     out["keys"].append(packed_keys(keys[a:b], kind))
-                    out["counts"].append(counts[a:b].tobytes())
+                    out["counts"].append(squeezed(counts[a:b]))
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
@@ -194,21 +211,13 @@ def _asked(lists: DataFrame, kind: str, place) -> DataFrame:
     return own.mapInArrow(run, "block long, part long, keys binary, counts binary")
 
 
-def unpacked(keys: bytes, kind: str):
-    return keys.split(b" ") if kind == "word" else np.frombuffer(keys, np.int64)
-
-
-def packed_keys(keys, kind: str) -> bytes:
-    return b" ".join(keys) if kind == "word" else keys.tobytes()
-
-
 def _answers(table: pa.Table, kind: str, values_of) -> pa.Table:
     """Packets back to the blocks: the keys as they were sent, and the values that ``values_of`` finds for them."""
     blocks, sent = table["block"].to_pylist(), table["keys"].to_pylist()
-    counts = [np.frombuffer(c, np.int64) for c in table["counts"].to_pylist()]
+    counts = [opened(c) for c in table["counts"].to_pylist()]
     values, total = values_of([unpacked(k, kind) for k in sent], counts)
-    packed = [v.tobytes() for v in values]
-    extra = [] if total is None else [(None, b"", np.array([total], float).tobytes())]
+    packed = [squeezed(v) for v in values]
+    extra = [] if total is None else [(None, b"", squeezed(np.array([total], float)))]
     rows = [*zip(blocks, sent, packed), *extra]
     columns = list(zip(*rows))
     kinds = (pa.int64(), pa.binary(), pa.binary())
@@ -237,7 +246,7 @@ def _shared_nodes(asked: DataFrame, depth: int) -> list[list[dict[str, np.ndarra
     """Merged nodes of contexts that reach a range's end: at most two contexts per range and depth."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, counts = ([np.frombuffer(x, np.int64) for x in table[c].to_pylist()] for c in ("keys", "counts"))
+        keys, counts = [unpacked(k, "gram") for k in table["keys"].to_pylist()], [opened(c) for c in table["counts"].to_pylist()]
         rows = [e for r in _ranges(keys, counts, depth) for e in r.edges() if len(e[1])]
         columns = [[r[0] for r in rows], *([r[i].tobytes() for r in rows] for i in range(1, 5))]
         kinds = (pa.int32(), *[pa.binary()] * 4)
@@ -257,13 +266,13 @@ def _score_block(depth: int, learnt: float, distinct: float):
     """Scores of a block's texts from the values of its grams and words."""
 
     def run(packs: pa.Table, answers: pa.Table) -> pa.Table:
-        own, opened = [], zstandard.ZstdDecompressor()
+        own = []
         for lengths, packed in zip(packs["lengths"].to_pylist(), packs["texts"].to_pylist()):
-            data, ends = opened.decompress(packed), np.cumsum(lengths).tolist()
+            data, ends = opened(packed, np.uint8).tobytes(), np.cumsum(lengths).tolist()
             own += [data[a:b] for a, b in zip([0, *ends], ends)]
         ids = pa.chunked_array([c.flatten() for c in packs["ids"].chunks], packs["ids"].type.value_type)
         packets = sorted(zip(answers["kind"].to_pylist(), answers["keys"].to_pylist(), answers["values"].to_pylist()), key=lambda p: p[0])
-        grams = [(np.frombuffer(k, np.int64), np.frombuffer(v, float)) for kind, k, v in packets if kind == "gram"]
+        grams = [(unpacked(k, kind), opened(v, float)) for kind, k, v in packets if kind == "gram"]
         gram, value = (np.concatenate([g[i] for g in grams]) for i in (0, 1))
         order = np.argsort(gram)
         gram, value = gram[order], value[order]
@@ -282,9 +291,9 @@ def _score_block(depth: int, learnt: float, distinct: float):
         counts = []
         for kind, keys, values in packets:
             if kind == "word":
-                for word in keys.split(b" "):
+                for word in unpacked(keys, kind):
                     index[word] = len(index)
-                counts.append(np.frombuffer(values, float))
+                counts.append(opened(values, float))
         count = np.concatenate(counts)
         cost = np.log10((count + 1) / (learnt + distinct + 1))
         known = count > 0
@@ -355,11 +364,11 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, block: int = BLOCK
 
 def _count_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        totals = [int(np.frombuffer(c, np.int64).sum()) for c in batch.column(0).to_pylist()]
+        totals = [int(opened(c).sum()) for c in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(totals, pa.int64())], names=["total"])
 
 
 def _value_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        totals = [float(np.frombuffer(c, float).sum()) for c in batch.column(0).to_pylist()]
+        totals = [float(opened(c, float).sum()) for c in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(totals, pa.float64())], names=["total"])
