@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from spendcast.config import CAPPED_COLS, SETTINGS
-from spendcast.operators.ranking import exact_quantiles
+from spendcast.operators.quantiles import exact_quantiles
 
 
 def outlier_caps(base: DataFrame, quantile: float = SETTINGS.cap_quantile) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spendcast.config import SETTINGS
 from spendcast.operators.metrics import metric_columns
-from spendcast.operators.ranking import exact_quantiles, quantile_values
+from spendcast.operators.quantiles import exact_quantiles, quantile_values
 
 # Segment names.
 TOP, MID, LOW, ZERO, ALL = (

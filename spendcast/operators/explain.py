@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from spendcast.config import EXPECTED_SIGNS, FEATURE_COLS, SETTINGS
 from spendcast.models.hurdle import HurdleModel
-from spendcast.operators.ranking import quantile_values
+from spendcast.operators.quantiles import quantile_values
 
 
 def explained_stage(model: Transformer) -> tuple[Transformer, str]:

@@ -1,4 +1,4 @@
-"""Global running totals, ranks and exact quantiles without a single-task window.
+"""Global running totals and ranks without a single-task window.
 
 The rows are range-partitioned on the sort key and written once together with their range
 number. Totals per range (one row per range) give each range its starting offset, and the only
@@ -53,39 +53,6 @@ def running_totals(
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: one row per column, ``q`` in the order of ``probs``.
-
-    Values are counted first, so repeated values cost one row each.
-    """
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counted = (
-        doubles.unpivot([], list(columns), "feature", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = running_totals(counted, [F.col("value")], {"n": F.col("n")}, by=["feature"])
-
-    def bounds(p: float) -> list[Column]:
-        h = F.lit(float(p)) * (F.col("n_total") - 1)
-        low = F.min(F.when(F.col("n_cum") > F.floor(h), F.col("value")))
-        high = F.min(F.when(F.col("n_cum") > F.ceil(h), F.col("value")))
-        return [F.struct(low.alias("low"), high.alias("high"), F.max(h - F.floor(h)).alias("part"))]
-
-    parts = ranked.groupBy("feature").agg(*[bounds(p)[0].alias(f"_b{i}") for i, p in enumerate(probs)])
-    values = [
-        F.col(f"_b{i}.low") + (F.col(f"_b{i}.high") - F.col(f"_b{i}.low")) * F.col(f"_b{i}.part")
-        for i in range(len(probs))
-    ]
-    return parts.select("feature", F.array(*values).alias("q"))
-
-
-def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Fitted quantiles as numbers: one short list per column, whatever the number of rows."""
-    return {r["feature"]: list(r["q"]) for r in exact_quantiles(df, columns, probs).collect()}
-
-
 def join_on_value(
     df: DataFrame, lookup: DataFrame, key: str, weight: str, total: str, spread_by: str
 ) -> DataFrame:

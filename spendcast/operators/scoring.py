@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.config import FEATURE_COLS, SETTINGS, Settings
-from spendcast.operators.ranking import quantile_values
+from spendcast.operators.quantiles import quantile_values
 
 # Segment names of scored customers.
 CHURNED, LOW, MID, WHALE = "Churned", "Low", "Mid", "Whale"

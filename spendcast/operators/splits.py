@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spendcast.config import SETTINGS
-from spendcast.operators.ranking import exact_quantiles, quantile_values
+from spendcast.operators.quantiles import exact_quantiles, quantile_values
 
 BUCKET_DIGITS = 3
 

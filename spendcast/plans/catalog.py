@@ -21,6 +21,7 @@ from spendcast.operators import (
     features,
     leaderboard,
     metrics,
+    quantiles,
     ranking,
     scoring,
     splits,
@@ -343,7 +344,7 @@ def stratified_split(spark, sf_dir):
 
 def split_diagnostics(spark, sf_dir):
     base = _split(spark, sf_dir)
-    edge = ranking.quantile_values(base, ["Next_3M_Spend"], [0.8])["Next_3M_Spend"][0]
+    edge = quantiles.quantile_values(base, ["Next_3M_Spend"], [0.8])["Next_3M_Spend"][0]
     out = splits.split_diagnostics(base, edge)
     return _round(_round(out, 9, "whale_share", "zero_share"), 4, "mean_spend", "max_spend")
 
@@ -568,7 +569,7 @@ def score_band(spark, sf_dir):
 def default_fill(spark, sf_dir):
     """Medians of the train customers fill the amounts of customers without a repeat day."""
     base = _split(spark, sf_dir)
-    medians = ranking.quantile_values(base.filter("split = 'train'"), ["Recency", "Monetary"], [0.5])
+    medians = quantiles.quantile_values(base.filter("split = 'train'"), ["Recency", "Monetary"], [0.5])
     given = base.select(
         "customer_id",
         F.when(F.col("Frequency") > 0, F.col("Monetary")).alias("Monetary"),

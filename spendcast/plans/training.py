@@ -12,7 +12,7 @@ from spendcast.config import FEATURE_COLS, SETTINGS, Settings
 from spendcast.models.hurdle import HurdleModel
 from spendcast.models.selection import Benchmark, benchmark, tune
 from spendcast.models import zoo
-from spendcast.operators import btyd, caps, evaluation, explain, features, ranking, splits
+from spendcast.operators import btyd, caps, evaluation, explain, features, quantiles, ranking, splits
 from spendcast.operators.cleaning import clean
 from spendcast.operators.metrics import metric_bundle
 from spendcast.operators.scoring import assemble
@@ -83,7 +83,7 @@ def prepare(
     train = table.filter("split = 'train'").withColumn(
         "_positive", F.when(F.col("Next_3M_Spend") > 0, F.col("Next_3M_Spend"))
     )
-    found = ranking.quantile_values(train, [*FEATURE_COLS, "_positive"], [0.2, 0.5, 0.8])
+    found = quantiles.quantile_values(train, [*FEATURE_COLS, "_positive"], [0.2, 0.5, 0.8])
     low, _, high = found.get("_positive", [0.0, 0.0, 0.0])
     defaults = {c: found.get(c, [0.0, 0.0, 0.0])[1] for c in FEATURE_COLS}
     return Prepared(table, (low, high), defaults, limits, purchases, values, settings)

@@ -1,10 +1,12 @@
 import random
+from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from spendcast.operators import ranking, splits
+from spendcast.operators import quantiles, ranking, splits
 
 
 def skewed(spark, n=3000):
@@ -24,14 +26,48 @@ def partitions(request, spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_quantiles_equal_numpy(spark, partitions):
+@pytest.mark.parametrize("ordered", [100_000, 20])
+def test_quantiles_equal_numpy(spark, partitions, ordered):
     df, rows = skewed(spark)
     probs = [0.0, 0.2, 0.5, 0.8, 0.99, 1.0]
-    got = ranking.quantile_values(df, ["Monetary", "actual"], probs)
+    got = quantiles.quantile_values(df, ["Monetary", "actual"], probs, ordered)
     assert got["Monetary"] == pytest.approx(list(np.quantile([r[1] for r in rows], probs)), abs=1e-9)
     assert got["actual"] == pytest.approx(list(np.quantile([r[2] for r in rows], probs)), abs=1e-9)
 
 
+def test_quantiles_of_many_unlike_values(spark):
+    """Brackets are narrowed by further sketches before their values are ordered."""
+    values = np.exp(4 * np.random.default_rng(3).normal(size=60_000))
+    df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(6)
+    probs = [0.01, 0.5, 0.999]
+    assert quantiles.quantile_values(df, ["v"], probs, ordered=50)["v"] == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+
+
+def test_quantiles_without_values_and_of_one(spark):
+    df = spark.createDataFrame([(None, 3.0, 1.0), (None, None, 2.0)], "a double, b double, c double")
+    assert quantiles.quantile_values(df, ["a", "b", "c"], [0.25, 1.0]) == {"b": [3.0, 3.0], "c": [1.25, 2.0]}
+    assert quantiles.exact_quantiles(df.filter("c > 5"), ["b"], [0.5]).collect() == []
+
+
+def test_a_missed_bracket_is_opened(spark, monkeypatch):
+    """Limits that a sketch got wrong cost a further pass, not a wrong quantile."""
+    df = spark.createDataFrame([(float(i),) for i in range(500)], "v double")
+    wrong = iter([(400.0, 450.0), (10.0, 20.0)])
+
+    def misled(self, found):
+        low, high = next(wrong, found)
+        return replace(self, low=low, high=high, outer=(self.low, self.high))
+
+    monkeypatch.setattr(quantiles.Target, "narrowed", misled)
+    assert quantiles.quantile_values(df, ["v"], [0.3, 0.7])["v"] == pytest.approx(np.quantile(np.arange(500.0), [0.3, 0.7]))
+
+
+def test_no_value_is_dealt_by_range(spark):
+    df, _ = skewed(spark)
+    with_sketch = quantiles._survey(df.select(F.col("Monetary").cast("double")), [quantiles.Target("Monetary", 0.5)])
+    assert with_sketch[0].low is not None and with_sketch[0].high is not None and with_sketch[0].inside == 3000
+
+
 def test_percentiles_with_a_value_owning_a_third(spark, partitions):
     df, rows = skewed(spark)
     train = np.sort([r[1] for r in rows if r[3] == "train"])
