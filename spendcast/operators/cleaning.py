@@ -50,6 +50,36 @@ def clean(raw: DataFrame) -> DataFrame:
     return drop_copies(valid_rows(raw))
 
 
+def mark(raw: DataFrame) -> DataFrame:
+    """One row for each transaction key of a usable customer, from one pass over the raw rows.
+
+    ``valid`` keys carry the quantity and revenue of the row that ``drop_copies`` would keep,
+    ``returned`` ones have a row with a negative quantity; a key can be both or neither. ``month`` is
+    the layout that later reads are filtered by.
+    """
+    checked = check_columns(raw)
+    kept = (F.col("Price") > 0) & (F.col("Quantity") > 0)
+    order = [F.col(c).alias(f"_{c}") for c in ("line_no", "Quantity", "Price") if c in checked.columns]
+    rows = checked.select(
+        "Invoice",
+        "StockCode",
+        canonical_id(F.col("Customer ID")).alias("customer_id"),
+        F.col("InvoiceDate").cast("timestamp_ntz").alias("InvoiceDate"),
+        F.when(kept, F.struct(*order)).alias("_row"),
+        F.coalesce(F.col("Quantity") < 0, F.lit(False)).alias("returned"),
+    )
+    keys = rows.filter(F.col("customer_id").isNotNull()).groupBy(*DEDUP_KEY).agg(F.min("_row").alias("_row"), F.max("returned").alias("returned"))
+    quantity, price = F.col("_row._Quantity"), F.col("_row._Price")
+    return keys.select(
+        *DEDUP_KEY,
+        quantity.alias("Quantity"),
+        (quantity.cast("double") * price.cast("double")).alias("TotalAmount"),
+        F.col("_row").isNotNull().alias("valid"),
+        "returned",
+        F.trunc("InvoiceDate", "month").alias("month"),
+    )
+
+
 def audit(raw: DataFrame) -> DataFrame:
     """One row of counts: what each cleaning step removed.
 

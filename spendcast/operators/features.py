@@ -30,11 +30,15 @@ def split_point(valid: DataFrame, horizon_days: int = SETTINGS.horizon_days) ->
 
 
 def history(transactions: DataFrame, split_ts: Column) -> DataFrame:
-    return transactions.filter(F.col("InvoiceDate") < split_ts)
+    """Rows before the split; of a table laid out by ``month`` only the months up to it are read."""
+    rows = transactions.filter(F.col("InvoiceDate") < split_ts)
+    return rows.filter(F.col("month") <= F.trunc(split_ts, "month")) if "month" in rows.columns else rows
 
 
 def outcome(transactions: DataFrame, split_ts: Column) -> DataFrame:
-    return transactions.filter(F.col("InvoiceDate") >= split_ts)
+    """Rows from the split on; of a table laid out by ``month`` only its month and later ones are read."""
+    rows = transactions.filter(F.col("InvoiceDate") >= split_ts)
+    return rows.filter(F.col("month") >= F.trunc(split_ts, "month")) if "month" in rows.columns else rows
 
 
 def customers(transactions: DataFrame) -> DataFrame:
@@ -124,10 +128,12 @@ def return_rates(raw: DataFrame, split_ts: Column | None = None) -> DataFrame:
         canonical_id(F.col("Customer ID")).alias("customer_id"), "Invoice", "InvoiceDate", "Quantity"
     ).filter(F.col("customer_id").isNotNull() & F.col("Invoice").isNotNull())
     if split_ts is not None:
-        rows = rows.filter(F.col("InvoiceDate") < split_ts)
-    invoices = rows.groupBy("customer_id", "Invoice").agg(
-        F.max(F.coalesce(F.col("Quantity") < 0, F.lit(False))).alias("returned")
-    )
+        rows = history(rows, split_ts)
+    return _return_rates(rows.withColumn("returned", F.coalesce(F.col("Quantity") < 0, F.lit(False))))
+
+
+def _return_rates(rows: DataFrame) -> DataFrame:
+    invoices = rows.groupBy("customer_id", "Invoice").agg(F.max("returned").alias("returned"))
     return invoices.groupBy("customer_id").agg(
         (F.count_if("returned") / F.count("*")).cast("double").alias("Return_Rate")
     )
@@ -158,6 +164,11 @@ def derived(features: DataFrame) -> DataFrame:
     )
 
 
+def _check_scope(return_scope: str) -> None:
+    if return_scope not in ("history", "all"):
+        raise ValueError("return_scope is 'history' or 'all'")
+
+
 def behaviour(
     transactions: DataFrame,
     split_ts: Column,
@@ -168,17 +179,27 @@ def behaviour(
 
     Each part ends in an aggregate on ``customer_id``, so the joins reuse that partitioning.
     """
+    _check_scope(return_scope)
+    returns = None if raw is None else return_rates(raw, split_ts if return_scope == "history" else None)
+    return _behaviour(transactions, split_ts, returns)
+
+
+def marked_behaviour(marked: DataFrame, split_ts: Column, return_scope: str = "history") -> DataFrame:
+    """``behaviour`` from a table of ``cleaning.mark``: no part of it reads the raw rows again."""
+    _check_scope(return_scope)
+    rows = marked.filter(F.col("Invoice").isNotNull())
+    returns = _return_rates(history(rows, split_ts) if return_scope == "history" else rows)
+    return _behaviour(marked.filter("valid"), split_ts, returns)
+
+
+def _behaviour(transactions: DataFrame, split_ts: Column, returns: DataFrame | None) -> DataFrame:
     hist = history(transactions, split_ts)
     frame = rfm(days(hist), split_ts)
     for part in (baskets(hist), products(hist)):
         frame = frame.join(part, "customer_id", "left")
-    if raw is None:
+    if returns is None:
         frame = frame.withColumn("Return_Rate", F.lit(0.0))
     else:
-        if return_scope not in ("history", "all"):
-            raise ValueError("return_scope is 'history' or 'all'")
-        frame = frame.join(
-            return_rates(raw, split_ts if return_scope == "history" else None), "customer_id", "left"
-        )
+        frame = frame.join(returns, "customer_id", "left")
     frame = frame.fillna(0.0, ["Avg_Basket_Size", "Max_Single_Order", "Unique_Products", "Return_Rate"])
     return derived(with_target(frame, targets(outcome(transactions, split_ts))))

@@ -311,9 +311,7 @@ def return_rate_all(spark, sf_dir):
 
 
 def behavior_features(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    rows = materialize(cleaning.clean(raw))
-    out = features.behaviour(rows, training.literal_split(rows, SETTINGS.horizon_days), raw)
+    out = training.marked_base(_raw(spark, sf_dir))
     return _round(
         out,
         6,

@@ -13,7 +13,7 @@ from spendcast.models.hurdle import HurdleModel
 from spendcast.models.selection import Benchmark, benchmark, tune
 from spendcast.models import zoo
 from spendcast.operators import btyd, caps, evaluation, explain, features, quantiles, ranking, splits
-from spendcast.operators.cleaning import clean
+from spendcast.operators.cleaning import mark
 from spendcast.operators.metrics import metric_bundle
 from spendcast.operators.scoring import assemble
 from spendcast.session import materialize
@@ -47,15 +47,20 @@ def literal_split(transactions: DataFrame, horizon_days: int) -> Column:
     return F.lit(str(stamp)).cast("timestamp_ntz")
 
 
+def marked_base(raw: DataFrame, settings: Settings = SETTINGS, return_scope: str = "history") -> DataFrame:
+    """History features and target of every customer, over marked rows that are written by month."""
+    marked = materialize(mark(raw), by=["month"])
+    split_ts = literal_split(marked.filter("valid"), settings.horizon_days)
+    return features.marked_behaviour(marked, split_ts, return_scope)
+
+
 def customer_base(raw: DataFrame, settings: Settings = SETTINGS, return_scope: str = "history") -> DataFrame:
     """Uncapped history features, target, stratum and split; written once.
 
-    Clean rows are written first: the day, invoice, product and outcome scans then read only
-    their columns, and the deduplication runs once.
+    The raw rows are read once: deduplicated and marked they are written by month, and the day,
+    invoice, product, return and outcome scans read their columns of the months they need.
     """
-    rows = materialize(clean(raw))
-    split_ts = literal_split(rows, settings.horizon_days)
-    base = materialize(features.behaviour(rows, split_ts, raw, return_scope))
+    base = materialize(marked_base(raw, settings, return_scope))
     strata = splits.with_stratum(base, splits.stratum_edges(base, strata=settings.strata))
     return materialize(splits.stratified_split(strata, share=settings.train_share, seed=settings.seed))
 

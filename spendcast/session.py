@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,13 +50,17 @@ def clear_scratch(spark: SparkSession) -> int:
     return deleted
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage and survives lost executors. Columnar, so each later reader
-    scans only the columns it needs.
+    scans only the columns it needs. With ``by`` the files are laid out in folders by these columns,
+    each by few tasks; filters on them then skip folders.
     """
     path = f"{scratch_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if by:
+        df.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+    else:
+        df.write.parquet(path)
     _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -34,8 +34,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
 
 
 def write_transactions(clean: DataFrame, path: str) -> None:
-    """Clean transactions by month, so that a literal split date prunes files."""
-    write_table(clean.withColumn("month", F.trunc(F.to_date("InvoiceDate"), "month")), path, partition_by=["month"])
+    """Clean transactions by month, each written by few tasks, so that a literal split date prunes files."""
+    by_month = clean.withColumn("month", F.trunc(F.to_date("InvoiceDate"), "month")).hint("rebalance", "month")
+    write_table(by_month, path, partition_by=["month"])
 
 
 def write_segment_metrics(df: DataFrame, path: str, fmt: str = "csv") -> None:

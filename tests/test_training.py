@@ -1,10 +1,12 @@
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from spendcast.config import FEATURE_COLS, SETTINGS
-from spendcast.operators import explain, scoring
+from spendcast.operators import cleaning, explain, features, scoring
 from spendcast.plans import training
+from spendcast.session import materialize
 from spendcast.sources import tables, transactions
 
 WIDE = replace(SETTINGS, log_pred_max=16.0, min_dollar_r2=-1000.0)
@@ -33,6 +35,36 @@ def test_from_raw_rows_to_a_scored_bundle(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{out}/scored").filter("note = 'kept'").count() == data.test.count()
 
 
+def test_raw_rows_are_read_once_and_months_are_skipped(spark, sf_dir, monkeypatch):
+    """The only job that reads the order tables writes the marked rows; later plans filter its months."""
+    written = []
+    monkeypatch.setattr(training, "materialize", lambda df, by=(): written.append(df) or materialize(df, by))
+    base = training.marked_base(transactions.orders_as_transactions(spark, sf_dir), WIDE)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert len(written) == 1 and plan(written[0]).count("lineitem.parquet") == 1
+    later = plan(base)
+    assert "lineitem" not in later and "orders.parquet" not in later
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]", later)
+    assert len(filters) >= 5 and all("month" in f for f in filters)
+    files = base.inputFiles()
+    assert all("month=" in f for f in files) and len(set(files)) == len({f.rpartition("/")[0] for f in files})
+
+
+def test_marked_rows_equal_cleaning_and_returns(spark, sf_dir):
+    raw = transactions.untidy_orders_as_transactions(spark, sf_dir)
+    raw = raw.unionByName(raw.filter("line_no < 3").withColumn("Quantity", F.lit(-1))).unionByName(raw.limit(50))
+    marked, clean = cleaning.mark(raw), cleaning.clean(raw)
+    columns = ["Invoice", "StockCode", "customer_id", "InvoiceDate", "Quantity", "TotalAmount"]
+    ours, theirs = (sorted(map(tuple, df.select(*columns).collect())) for df in (marked.filter("valid"), clean))
+    assert ours == theirs
+    split_ts = training.literal_split(clean, 400)
+    for scope in ("history", "all"):
+        one, two = (
+            sorted(df.collect()) for df in (features.marked_behaviour(marked, split_ts, scope), features.behaviour(clean, split_ts, raw, scope))
+        )
+        assert one == two and any(0 < r["Return_Rate"] < 1 for r in one)
+
+
 def test_test_customers_never_change_train_features(spark, sf_dir):
     raw = transactions.orders_as_transactions(spark, sf_dir)
     base = training.customer_base(raw, WIDE)
