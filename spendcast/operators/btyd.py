@@ -1,12 +1,12 @@
 """Buy-till-you-die estimates: BG/NBD for purchases and Gamma-Gamma for order value.
 
-The fits work on a table of distinct inputs with their counts. One Spark aggregate evaluates the
-likelihood at a whole stencil of parameter points; the driver only sees one number per point.
+The fits work on a table of distinct inputs with their counts. One Spark aggregate gives the
+likelihood, its gradient and its second derivatives at a few parameter points, one row per point,
+which is all that the driver sees of the customers.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendcast.config import SETTINGS
-from spendcast.functions.special import hyp2f1_column, lgamma
+from spendcast.functions.special import digamma, hyp2f1_column, lgamma, trigamma
 
 # First penalty and the ones tried after it.
 PENALTY = 0.01
@@ -85,70 +85,192 @@ def repeat_buyers(base: DataFrame) -> DataFrame:
     return base.filter((F.col("Frequency") > 0) & (F.col("Monetary") > 0))
 
 
-def _objective(
-    data: DataFrame, names: Sequence[str], loglik: Column, penalty: float
-) -> Callable[[np.ndarray], np.ndarray]:
-    """Penalised mean negative log-likelihood at many log-parameter points, in one aggregate.
+@dataclass(frozen=True)
+class Terms:
+    """A part of the log-likelihood of one customer and its derivatives by the parameters, as columns.
 
-    The points are one folded array literal, so each pass reuses the same compiled stage.
+    ``rows`` gives the table that it is summed over, with weights ``n``, from the distinct inputs: some
+    parts depend on the number of purchases alone. ``helpers`` are columns that the terms share, added
+    in steps. What is not named is zero.
     """
 
-    def evaluate(points: np.ndarray) -> np.ndarray:
-        values = np.exp(points)
+    rows: Callable[[DataFrame], DataFrame]
+    helpers: list[dict[str, Column]]
+    value: Column
+    first: dict[str, Column]
+    second: dict[tuple[str, str], Column]
+
+
+def _steps(x: str) -> Callable[[DataFrame], DataFrame]:
+    """How many customers have more than ``k`` purchases, for each ``k`` that some have."""
+
+    def rows(data: DataFrame) -> DataFrame:
+        counts = data.groupBy(x).agg(F.sum("n").alias("n")).filter(F.col(x) > 0)
+        each = counts.select(F.explode(F.sequence(F.lit(0), F.col(x).cast("int") - 1)).alias("k"), "n")
+        return each.groupBy("k").agg(F.sum("n").alias("n")).coalesce(1)
+
+    return rows
+
+
+def purchase_terms(x: str, tx: Column, age: Column) -> tuple[tuple[str, ...], list[Terms]]:
+    """BG/NBD with parameters in the columns r, alpha, a, b; ``x`` holds whole numbers.
+
+    A repeat buyer is still alive, or gone after the last purchase; ``gone`` is the share of the
+    second in the likelihood, zero without a repeat. Quotients of gamma functions at a distance of
+    ``x`` are products of ``x`` steps, so all customers together need one step per number.
+    """
+    names, count = ("r", "alpha", "a", "b"), F.col(x)
+    r, alpha, a, b = (F.col(n) for n in names)
+    repeats, power = _positive(count) - 1, r + count
+    odds = F.ln(a) - F.ln(b + repeats) - power * (F.col("_gone_log") - F.col("_alive_log"))  # log of gone over alive
+    helpers = {
+        "_alive_log": F.ln(alpha + age),
+        "_gone_log": F.ln(alpha + tx),
+        "_alive_rate": 1 / (alpha + age),
+        "_gone_rate": 1 / (alpha + tx),
+        "_b_rate": 1 / (b + repeats),
+    }
+    al, gl, ar, gr, br = map(F.col, helpers)
+    gone = F.col("_gone")
+    alive = 1 - gone
+    # The differences between the two branches give the curvature of their mixture.
+    apart = {"r": al - gl, "alpha": power * (ar - gr), "a": 1 / a, "b": -br}
+    own = {
+        ("r", "r"): F.lit(0.0),
+        ("r", "alpha"): 1 / alpha - alive * ar - gone * gr,
+        ("alpha", "alpha"): power * (alive * ar * ar + gone * gr * gr) - r / (alpha * alpha),
+        ("a", "a"): -gone / (a * a),
+        ("b", "b"): gone * br * br,
+    }
+    pairs = [(p, q) for i, p in enumerate(names) for q in names[i:]]
+    branches = Terms(
+        lambda data: data,
+        [helpers, {"_gone": F.when(count > 0, 1 / (1 + F.exp(-odds))).otherwise(0.0)}],
+        # The log of the sum is that of the larger branch plus what the other adds to it.
+        r * F.ln(alpha) - power * al + F.when(count > 0, F.greatest(odds, F.lit(0.0)) + F.log1p(F.exp(-F.abs(odds)))).otherwise(0.0),
+        {"r": F.ln(alpha) - alive * al - gone * gl, "alpha": r / alpha - power * (alive * ar + gone * gr), "a": gone / a, "b": -gone * br},
+        {k: own.get(k, F.lit(0.0)) + gone * alive * apart[k[0]] * apart[k[1]] for k in pairs},
+    )
+    kr, kb, kab = F.col("_r"), F.col("_b"), F.col("_ab")
+    gammas = Terms(
+        _steps(x),
+        [{"_r": r + F.col("k"), "_b": b + F.col("k"), "_ab": a + b + F.col("k")}],
+        F.ln(kr) + F.ln(kb) - F.ln(kab),
+        {"r": 1 / kr, "a": -1 / kab, "b": 1 / kb - 1 / kab},
+        {("r", "r"): -1 / (kr * kr), ("a", "a"): 1 / (kab * kab), ("a", "b"): 1 / (kab * kab), ("b", "b"): 1 / (kab * kab) - 1 / (kb * kb)},
+    )
+    return names, [branches, gammas]
+
+
+def value_terms(x: str, mean: Column) -> tuple[tuple[str, ...], list[Terms]]:
+    """Gamma-Gamma with parameters in the columns p, q, v."""
+    names, count = ("p", "q", "v"), F.col(x)
+    p, q, v = (F.col(n) for n in names)
+    px = p * count
+    log, rate = F.col("_log"), F.col("_rate")
+    amounts = Terms(
+        lambda data: data,
+        [{"_log": F.ln(v + mean * count), "_rate": 1 / (v + mean * count)}],
+        (px - 1) * F.ln(mean) - (px + q) * log,
+        {"p": count * (F.ln(mean) - log), "q": -log, "v": -(px + q) * rate},
+        {("p", "v"): -count * rate, ("q", "v"): -rate, ("v", "v"): (px + q) * rate * rate},
+    )
+    at, sum_at = F.col("_at"), F.col("_sum_at")
+    gammas = Terms(
+        lambda data: data.groupBy(x).agg(F.sum("n").alias("n")).coalesce(1),
+        [{"_at": px, "_sum_at": px + q}, {"_psi": digamma(sum_at), "_tri": trigamma(sum_at)}],
+        lgamma(sum_at) - lgamma(at) - lgamma(q) + q * F.ln(v) + px * F.ln(count),
+        {"p": count * (F.col("_psi") - digamma(at) + F.ln(count)), "q": F.col("_psi") - digamma(q) + F.ln(v), "v": q / v},
+        {
+            ("p", "p"): count * count * (F.col("_tri") - trigamma(at)),
+            ("p", "q"): count * F.col("_tri"),
+            ("q", "q"): F.col("_tri") - trigamma(q),
+            ("q", "v"): 1 / v,
+            ("v", "v"): -q / (v * v),
+        },
+    )
+    return names, [amounts, gammas]
+
+
+Point = tuple[float, np.ndarray, np.ndarray]
+
+
+def derivatives(data: DataFrame, names: Sequence[str], parts: Sequence[Terms]) -> Callable[[np.ndarray], DataFrame]:
+    """Mean log-likelihood and derivatives over ``n`` copies of each row: one row (id, value, ...) per point.
+
+    The points are one folded array literal, so each pass reuses the same compiled stages.
+    """
+    pairs = [(p, q) for i, p in enumerate(names) for q in names[i:]]
+    weight = F.lit(float(data.agg(F.sum("n")).first()[0] or 1))
+    prepared = []
+    for terms in parts:
+        rows = terms.rows(data)
+        rows = rows if rows is data else rows.cache()
+        named = {"value": terms.value, **{f"d_{k}": c for k, c in terms.first.items()}, **{f"d_{j}_{k}": c for (j, k), c in terms.second.items()}}
+        every = ["value", *[f"d_{k}" for k in names], *[f"d_{j}_{k}" for j, k in pairs]]
+        means = [((F.sum(named[k] * F.col("n")) / weight) if k in named else F.lit(0.0)).alias(k) for k in every]
+        prepared.append((rows, terms.helpers, means))
+
+    def at(points: np.ndarray) -> DataFrame:
         entries = [
             f"named_struct('id', {i}, " + ", ".join(f"'{n}', {float(v)!r}D" for n, v in zip(names, row)) + ")"
-            for i, row in enumerate(values)
+            for i, row in enumerate(points)
         ]
-        rows = (
-            data.withColumn("_p", F.expr(f"explode(array({', '.join(entries)}))"))
-            .groupBy(F.col("_p.id").alias("id"))
-            .agg((F.sum(loglik * F.col("n")) / F.sum("n")).alias("mean"))
-            .collect()
-        )
-        out = np.full(len(points), np.inf)
-        for row in rows:
-            if row["mean"] is not None and math.isfinite(row["mean"]):
-                out[row["id"]] = -row["mean"] + penalty * float(np.sum(values[row["id"]] ** 2))
+        given = F.expr(f"explode(array({', '.join(entries)}))")
+        summed = []
+        for rows, helpers, means in prepared:
+            placed = rows.withColumn("_p", given).select("*", "_p.*")
+            for step in helpers:
+                placed = placed.withColumns(step)
+            summed.append(placed.groupBy("id").agg(*means))
+        both = summed[0]
+        for other in summed[1:]:
+            both = both.unionByName(other)
+        return both.groupBy("id").agg(*[F.sum(c).alias(c) for c in both.columns if c != "id"])
+
+    return at
+
+
+def _objective(
+    data: DataFrame, model: tuple[Sequence[str], Sequence[Terms]], penalty: float
+) -> Callable[[np.ndarray], list[Point | None]]:
+    """Penalised mean negative log-likelihood with gradient and curvature at log-parameter points.
+
+    ``None`` stands for a point where any of it is not finite.
+    """
+    names, parts = model
+    rows_at = derivatives(data, names, parts)
+
+    def evaluate(points: np.ndarray) -> list[Point | None]:
+        values = np.exp(points)
+        out: list[Point | None] = [None] * len(points)
+        for row in rows_at(values).collect():
+            at = values[row["id"]]
+            gradient = np.array([row[f"d_{k}"] for k in names], float)
+            curvature = np.array([[row[f"d_{names[min(i, j)]}_{names[max(i, j)]}"] for j in range(len(names))] for i in range(len(names))], float)
+            # From parameters to their logarithms.
+            slope = -at * gradient + 2 * penalty * at**2
+            bend = -np.outer(at, at) * curvature + np.diag(-at * gradient + 4 * penalty * at**2)
+            value = np.nan if row["value"] is None else -row["value"] + penalty * float(np.sum(at**2))
+            if np.isfinite(value) and np.all(np.isfinite(slope)) and np.all(np.isfinite(bend)):
+                out[row["id"]] = (value, slope, bend)
         return out
 
     return evaluate
 
 
 def _minimise(
-    evaluate: Callable[[np.ndarray], np.ndarray], start: np.ndarray, tol: float, max_rounds: int = 60
+    evaluate: Callable[[np.ndarray], list[Point | None]], start: np.ndarray, tol: float, max_rounds: int = 60
 ) -> tuple[np.ndarray, float] | None:
-    """Damped Newton steps with difference derivatives.
-
-    Each round tries a few steps (plain, stretched, damped) together with the stencil around each,
-    so a round is a single aggregate.
-    """
-    d, h = len(start), 1e-4
-    eye = np.eye(d)
-    pairs = [(i, j) for i in range(d) for j in range(i)]
-    stencil = np.vstack(
-        [np.zeros((1, d)), h * eye, -h * eye]
-        + [h * (eye[i] + eye[j])[None, :] for i, j in pairs]
-        + [-h * (eye[i] + eye[j])[None, :] for i, j in pairs]
-    )
-    m = len(stencil)
-
-    def derivatives(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        f0, up, down = f[0], f[1 : d + 1], f[d + 1 : 2 * d + 1]
-        hessian = np.diag((up - 2 * f0 + down) / h**2)
-        for k, (i, j) in enumerate(pairs):
-            both = f[2 * d + 1 + k] + f[2 * d + 1 + len(pairs) + k]
-            mixed = (both - up[i] - up[j] - down[i] - down[j] + 2 * f0) / (2 * h**2)
-            hessian[i, j] = hessian[j, i] = mixed
-        return (up - down) / (2 * h), hessian
-
-    x, f = start, evaluate(start + stencil)
+    """Damped Newton steps. Each round tries a few (plain, stretched, damped) in a single aggregate."""
+    x, here = start, evaluate(start[None, :])[0]
     shrink = 1.0
     for _ in range(max_rounds):
-        if not np.all(np.isfinite(f)):
+        if here is None:
             return None
-        gradient, hessian = derivatives(f)
+        value, gradient, hessian = here
         if np.max(np.abs(gradient)) < tol:
-            return x, float(f[0])
+            return x, float(value)
         roots, basis = np.linalg.eigh(hessian)
         projected = basis.T @ gradient
         tried = []
@@ -156,13 +278,13 @@ def _minimise(
             step = -basis @ (projected / np.maximum(np.abs(roots) + damping, 1e-10))
             step = step * min(1.0, 2.0 / max(np.max(np.abs(step)), 1e-12))
             tried.append(x + shrink * stretch * step)
-        values = evaluate(np.vstack([t + stencil for t in tried])).reshape(len(tried), m)
-        usable = np.where(np.all(np.isfinite(values), axis=1), values[:, 0], np.inf)
+        found = evaluate(np.vstack(tried))
+        usable = [np.inf if f is None else f[0] for f in found]
         best = int(np.argmin(usable))
-        if usable[best] < f[0]:
-            x, f, shrink = tried[best], values[best], 1.0
-        elif np.max(np.abs(gradient)) < 10 * tol:
-            return x, float(f[0])
+        if usable[best] < value:
+            x, here, shrink = tried[best], found[best], 1.0
+        elif np.max(np.abs(gradient)) < 100 * tol:
+            return x, float(value)  # steps no longer show in the value
         elif shrink < 1e-3:
             return None
         else:
@@ -174,7 +296,7 @@ def fit_purchases(
     train: DataFrame,
     penalty: float = PENALTY,
     further: Sequence[float] = tuple(FURTHER_PENALTIES),
-    tol: float = 1e-5,
+    tol: float = 1e-7,
 ) -> PurchaseParams:
     """Fit BG/NBD; on failure try larger penalties, and raise when none converges.
 
@@ -185,12 +307,9 @@ def fit_purchases(
     try:
         longest = counted.agg(F.max("T")).first()[0] or 1.0
         scale = F.lit(1.0 / max(float(longest), 1.0))
-        names = ["r", "alpha", "a", "b"]
-        loglik = purchase_loglik(
-            F.col("Frequency"), F.col("Recency") * scale, F.col("T") * scale, *[F.col(f"_p.{n}") for n in names]
-        )
+        model = purchase_terms("Frequency", F.col("Recency") * scale, F.col("T") * scale)
         for coefficient in [penalty, *further]:
-            found = _minimise(_objective(counted, names, loglik, coefficient), np.full(4, 0.1), tol)
+            found = _minimise(_objective(counted, model, coefficient), np.full(4, 0.1), tol)
             if found is not None:
                 r, alpha, a, b = np.exp(found[0])
                 return PurchaseParams(
@@ -201,7 +320,7 @@ def fit_purchases(
     raise FitError("BG/NBD did not converge at any penalty")
 
 
-def fit_values(train: DataFrame, penalty: float = PENALTY, tol: float = 1e-5) -> ValueParams:
+def fit_values(train: DataFrame, penalty: float = PENALTY, tol: float = 1e-7) -> ValueParams:
     """Fit Gamma-Gamma on repeat buyers. Money is not rescaled, so the penalty sees dollars."""
     repeat = repeat_buyers(train)
     counted = repeat.groupBy(F.bround("Frequency", 0).alias("x"), "Monetary").agg(F.count("*").alias("n")).cache()
@@ -209,9 +328,7 @@ def fit_values(train: DataFrame, penalty: float = PENALTY, tol: float = 1e-5) ->
         mean = counted.agg((F.sum(F.col("Monetary") * F.col("n")) / F.sum("n")).alias("m")).first()["m"]
         if mean is None:
             raise FitError("no repeat buyer with positive spend")
-        names = ["p", "q", "v"]
-        loglik = value_loglik(F.col("x"), F.col("Monetary"), *[F.col(f"_p.{n}") for n in names])
-        found = _minimise(_objective(counted, names, loglik, penalty), np.full(3, 0.1), tol)
+        found = _minimise(_objective(counted, value_terms("x", F.col("Monetary")), penalty), np.full(3, 0.1), tol)
     finally:
         counted.unpersist()
     if found is None:

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from spendcast.functions.special import hyp2f1, lgamma
+from spendcast.functions.special import digamma, hyp2f1, lgamma, trigamma
 from spendcast.operators import btyd
 
 
@@ -17,6 +17,46 @@ def test_lgamma_against_the_library(spark):
         assert r["y"] == pytest.approx(math.lgamma(r["x"]), abs=1e-9)
 
 
+def test_digamma_and_trigamma(spark):
+    """At one and one half by their constants, elsewhere by their steps and by differences of log-gamma."""
+    euler = 0.5772156649015329
+    fixed = {1.0: (-euler, math.pi**2 / 6), 0.5: (-euler - 2 * math.log(2), math.pi**2 / 2)}
+    xs = [1e-3, 0.1, 0.5, 1.0, 2.7, 40.0, 1e5]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select(
+        "x", digamma(F.col("x")).alias("d"), trigamma(F.col("x")).alias("t"), digamma(F.col("x") + 1).alias("d1"), trigamma(F.col("x") + 1).alias("t1")
+    )
+    for r in rows.collect():
+        x = r["x"]
+        assert r["d1"] - r["d"] == pytest.approx(1 / x, rel=1e-11) and r["t"] - r["t1"] == pytest.approx(1 / x**2, rel=1e-4 if x > 1e4 else 1e-10)
+        if x in fixed:
+            assert (r["d"], r["t"]) == pytest.approx(fixed[x], rel=1e-12)
+        h = x * 1e-4
+        assert r["d"] == pytest.approx((math.lgamma(x + h) - math.lgamma(x - h)) / (2 * h), rel=1e-5, abs=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["purchases", "values"])
+def test_derivatives_equal_differences(spark, kind):
+    if kind == "purchases":
+        data = spark.createDataFrame(simulate(60, 0.6, 20.0, 0.8, 2.5)).withColumn("n", F.lit(2))
+        (names, parts), at = btyd.purchase_terms("Frequency", F.col("Recency"), F.col("T")), np.array([0.7, 15.0, 0.9, 1.7])
+        plain = btyd.purchase_loglik(*map(F.col, ("Frequency", "Recency", "T")), *map(F.lit, at.tolist()))
+    else:
+        data = spark.createDataFrame([(1.0, 20.0, 3), (4.0, 7.5, 1), (9.0, 100.0, 2)], "x double, m double, n int")
+        (names, parts), at = btyd.value_terms("x", F.col("m")), np.array([2.1, 3.3, 12.0])
+        plain = btyd.value_loglik(F.col("x"), F.col("m"), *map(F.lit, at.tolist()))
+    h = 1e-4 * at
+    points = [at] + [at + s * h[i] * np.eye(len(at))[i] for i in range(len(at)) for s in (1, -1)]
+    rows = {r["id"]: r for r in btyd.derivatives(data, names, parts)(np.array(points)).collect()}
+    whole = data.agg(F.sum(plain * F.col("n")) / F.sum("n")).first()[0]
+    assert rows[0]["value"] == pytest.approx(whole, rel=1e-12)
+    for i, name in enumerate(names):
+        up, down = rows[1 + 2 * i], rows[2 + 2 * i]
+        assert rows[0][f"d_{name}"] == pytest.approx((up["value"] - down["value"]) / (2 * h[i]), rel=1e-5, abs=1e-8)
+        for other in names[i:]:
+            slope = (up[f"d_{other}"] - down[f"d_{other}"]) / (2 * h[i])
+            assert rows[0][f"d_{name}_{other}"] == pytest.approx(slope, rel=1e-5, abs=1e-8)
+
+
 def direct_series(a, b, c, z):
     total = term = 1.0
     for n in range(5000):
@@ -66,6 +106,14 @@ def test_value_parameters_are_recovered(spark):
     assert k.q == pytest.approx(q, rel=0.15)
 
 
+def test_fitted_points_have_no_slope(spark):
+    data = spark.createDataFrame(simulate(500, 0.6, 20.0, 0.8, 2.5)).withColumn("n", F.lit(1))
+    k = btyd.fit_purchases(data.drop("n"), penalty=0.0)
+    names, parts = btyd.purchase_terms("Frequency", F.col("Recency"), F.col("T"))
+    row = btyd.derivatives(data, names, parts)(np.array([[k.r, k.alpha, k.a, k.b]])).first()
+    assert max(abs(row[f"d_{n}"] * v) for n, v in zip(names, (k.r, k.alpha, k.a, k.b))) < 1e-6
+
+
 def test_alive_is_a_probability_and_one_for_single_buyers(spark):
     rng = np.random.default_rng(2)
     age = rng.uniform(1, 500, 300)
