@@ -95,7 +95,7 @@ class ChunkEncoder:
     tables are emptied at ``limit`` entries.
     """
 
-    def __init__(self, path: str, limit: int = 500_000, long_run: int = 200):
+    def __init__(self, path: str, limit: int = 200_000, long_run: int = 200):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -146,17 +146,32 @@ class ChunkEncoder:
             self.known[run] = b"".join([self.words[w] for w in found])
 
     def encode(self, text: str) -> bytes:
-        runs = CHUNK.findall(text) if re.search("[\x1c-\x1f]", text) else text.split()
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """New runs of all texts are encoded in one go; long ones are not worth a place in the table."""
         known = self.known
         if len(known) > self.limit:
             known.clear()
-        missing = [r for r in set(runs) if r not in known]
-        long = {r: self._encode(r).tobytes() for r in missing if len(r) > self.long_run}  # not worth a place
-        if missing:
-            self._learn([r for r in missing if r not in long] if long else missing)
-        if long:
-            return b"".join([long[r] if r in long else known[r] for r in runs])
-        return b"".join(map(known.__getitem__, runs))
+        cut = [CHUNK.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
+        missing = set().union(*cut) - known.keys()
+        long = [r for r in missing if len(r) > self.long_run]
+        self._learn(list(missing.difference(long)))
+        for run in long:
+            known[run] = self._encode(run).tobytes()
+        found = [b"".join(map(known.__getitem__, runs)) for runs in cut]
+        for run in long:
+            del known[run]
+        return found
+
+    def forget(self) -> None:
+        """Empty the tables, so that a worker holds nothing for the stages that it runs later."""
+        self.known.clear()
+        self.words.clear()
+
+
+#: Characters of texts whose new runs are encoded together.
+TOGETHER = 4 << 20
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -169,7 +184,14 @@ def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
         encoder = _ENCODERS.get(vocabulary) or _ENCODERS.setdefault(vocabulary, ChunkEncoder(vocabulary))
         end, row = np.array([END_ID], encoder.kind).tobytes(), TaskContext.get().partitionId() << 36
         for batch in batches:
-            ids = [encoder.encode(t or "") + end for t in batch.column(2).to_pylist()]
+            ids, waiting, size = [], [], 0
+            for text in batch.column(2).to_pylist():
+                waiting.append(text or "")
+                size += len(waiting[-1])
+                if size >= TOGETHER:
+                    ids += [x + end for x in encoder.encode_all(waiting)]
+                    waiting, size = [], 0
+            ids += [x + end for x in encoder.encode_all(waiting)]
             counts = pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64())
             rows = pa.array(np.arange(row, row + len(ids)))
             row += len(ids)
@@ -178,6 +200,7 @@ def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
                 [rows, batch.column(0), batch.column(1), counts, pa.array(ids, pa.binary()), wide],
                 names=["row", "doc_id", "source", "doc_tokens", "ids", "wide"],
             )
+        encoder.forget()
 
     kinds = dict(docs.dtypes)
     schema = f"row long, doc_id {kinds['doc_id']}, source {kinds['source']}, doc_tokens long, ids binary, wide boolean"
