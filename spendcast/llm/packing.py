@@ -91,11 +91,10 @@ class ChunkEncoder:
     """Token ids of texts by a ``tokenizers`` file that lower-cases and drops white space between words.
 
     Neither its normaliser nor its pre-tokenizer joins anything across white space, so runs between
-    white space are encoded once and looked up afterwards, and so are the words of plain runs. Both
-    tables are emptied at ``limit`` entries.
+    white space are encoded once and looked up afterwards. The table is emptied at ``limit`` entries.
     """
 
-    def __init__(self, path: str, limit: int = 200_000, long_run: int = 200):
+    def __init__(self, path: str, limit: int = 400_000, long_run: int = 200):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -110,40 +109,37 @@ class ChunkEncoder:
             self.ranks = rank_encoding(json.load(file))
         self.limit, self.long_run = limit, long_run
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _encode_words(self, words: list[str]) -> np.ndarray:
+    def _encode_words(self, ended: str) -> np.ndarray:
+        """Ids of words that each end with a zero character."""
         if self.ranks:
-            return np.array(self.ranks.encode_ordinary("\0".join(words) + "\0"), self.kind)
-        return self._encode(" ".join(words))
+            return np.array(self.ranks.encode_ordinary(ended), self.kind)
+        return self._encode(ended.replace("\0", " "))
 
     def _learn(self, runs: list[str]) -> None:
-        if len(self.words) > self.limit:
-            self.words.clear()
-        cut, new = {}, set()
+        plain = []
         for run in runs:
             if PLAIN.fullmatch(run) and ("<" not in run or not any(x in run for x in self.special)):
-                cut[run] = found = WORD.findall(run.lower())
-                new.update(w for w in found if w not in self.words)
+                plain.append(run)
             else:
                 self.known[run] = self._encode(run).tobytes()
-        if new:
-            # One call for all of them; the last token of every word is marked.
-            order = list(new)
-            ids = self._encode_words(order)
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(ends) == len(order):
-                data, width, start = ids.tobytes(), self.kind.itemsize, 0
-                for word, end in zip(order, ends):
-                    self.words[word] = data[start * width : end * width]
-                    start = end
-            else:
-                self.words.update((w, self._encode(w).tobytes()) for w in order)
-        for run, found in cut.items():
-            self.known[run] = b"".join([self.words[w] for w in found])
+        if not plain:
+            return
+        # One call for all of them: every word gets an end, and the last token of every word is marked.
+        marked = WORD.sub("\\g<0>\0", " ".join(plain).lower())
+        counts = [m.count("\0") for m in marked.split(" ")]
+        ids = self._encode_words(marked.replace(" ", ""))
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(counts) != len(plain) or len(ends) != sum(counts):
+            self.known.update((run, self._encode(run).tobytes()) for run in plain)
+            return
+        data, width, start = ids.tobytes(), self.kind.itemsize, 0
+        for run, end in zip(plain, (np.r_[0, ends][np.cumsum(counts)] * width).tolist()):
+            self.known[run] = data[start:end]
+            start = end
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -165,9 +161,8 @@ class ChunkEncoder:
         return found
 
     def forget(self) -> None:
-        """Empty the tables, so that a worker holds nothing for the stages that it runs later."""
+        """Empty the table, so that a worker holds nothing for the stages that it runs later."""
         self.known.clear()
-        self.words.clear()
 
 
 #: Characters of texts whose new runs are encoded together.
