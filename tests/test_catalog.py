@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
@@ -20,10 +21,10 @@ def duck(sf_dir):
 
 
 def plain(value):
-    if value is None or value != value:
+    if value is None or pd.isna(value):
         return "null"
-    if isinstance(value, float):
-        return repr(value + 0.0)
+    if isinstance(value, float):  # whole numbers with nulls are floats on one side only
+        return str(int(value)) if value.is_integer() else repr(value)
     return str(value)
 
 
