@@ -4,25 +4,30 @@ On at most about ``SAMPLE`` vectors the exact neighbour graph is drawn and cut i
 even size with few edges between them; a small classifier learns the part from the vector. Every row
 is filed under its most probable part. A query visits as many of its most probable parts as it takes
 to find ``RECALL`` of the sample's own neighbours, and all their rows are ranked by exact cosine in
-double precision.
+double precision. A query that found fewer than ``k`` rows there visits all parts.
 
 Parts are split into blocks of ``BLOCK`` rows and their queries into blocks of ``QUERIES``, so no
 task holds a whole part; every block gives at most ``k`` rows per query. Vectors that are null, zero,
 of another length than most of the sample, or that hold null or non-finite components take no part,
-as rows with a null id. Ties go to the smaller vec_id. Rows repeated with one vec_id count once.
-Empty tables give no rows. Extra columns are ignored.
+as rows with a null id. Ties go to the smaller vec_id. Rows with one vec_id are one candidate and one
+query, as near as the nearest of their vectors. Vectors are scaled by a power of two before anything
+is multiplied, so components of any size give the cosines of the original vectors. Empty tables give
+no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from spendcast.llm.common import checked_broadcast
+from spendcast.session import materialize
+
 SAMPLE, PARTS, DEGREE, RECALL = 8192, 64, 10, 0.985
 BLOCK, QUERIES = 32_768, 2048
 
@@ -33,6 +38,11 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda x: x != 0)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Every row by the power of two that brings its largest component to [0.5, 1)."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -143,7 +153,7 @@ def fit(vectors: DataFrame, vector: str, key: str, size: int = SAMPLE, parts: in
     lengths = np.array([len(r[1]) for r in rows])
     dimensions = int(np.bincount(lengths).argmax())
     rows = sorted((r for r in rows if len(r[1]) == dimensions), key=lambda r: (r[0], r[1]))
-    x = _unit(np.array([r[1] for r in rows], float))
+    x = _unit(_scaled(np.array([r[1] for r in rows], float)))
     x = np.unique(x, axis=0)  # copies would only fill each other's neighbour lists
     parts = max(1, min(parts, len(x) // 32))
     degree = min(DEGREE, len(x) - 1)
@@ -168,6 +178,24 @@ def nearest(
     spark = vectors.sparkSession
     if router is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = materialize(_search(vectors, queries, router, k, key, vector))
+    full = found.filter(F.col("rank") == k).select(F.col("query_id").alias(key))
+    asked = _usable_rows(queries, router, key, vector)
+    short = materialize(asked.join(checked_broadcast(full), key, "left_anti"))
+    every = len(router.second[0])
+    if router.probes >= every or not short.limit(1).count():
+        return found
+    again = _search(vectors, short, replace(router, probes=every), k, key, vector)
+    return found.join(checked_broadcast(full.withColumnRenamed(key, "query_id")), "query_id", "left_semi").union(again)
+
+
+def _usable_rows(df: DataFrame, router: Router, key: str, vector: str) -> DataFrame:
+    ok = df.filter(usable(F.col(vector)) & F.col(key).isNotNull() & (F.size(vector) == router.dimensions))
+    return ok.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector))
+
+
+def _search(vectors: DataFrame, queries: DataFrame, router: Router, k: int, key: str, vector: str) -> DataFrame:
+    spark = vectors.sparkSession
     sent = spark.sparkContext.broadcast(router)  # layer sizes only, whatever the number of rows
 
     def file(probing: bool):
@@ -179,6 +207,9 @@ def nearest(
                 x = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(-1, own.dimensions)
                 if not len(x):
                     continue
+                x = _scaled(x)
+                _, first = np.unique(np.c_[ids.astype(np.int64), x.view(np.int64)], axis=0, return_index=True)
+                ids, x = ids[first], x[first]  # a row repeated without end is one in every batch
                 parts = np.argsort(-own.logits(_unit(x)), axis=1, kind="stable")[:, :visits]
                 packed = [row.tobytes() for row in x]
                 yield pa.RecordBatch.from_arrays(
@@ -192,17 +223,14 @@ def nearest(
         return run
 
     def filed(df: DataFrame, probing: bool) -> DataFrame:
-        ok = df.filter(usable(F.col(vector)) & F.col(key).isNotNull() & (F.size(vector) == router.dimensions))
-        return ok.select(F.col(key).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(
-            file(probing), "id long, part int, vector binary"
-        )
+        return _usable_rows(df, router, key, vector).mapInArrow(file(probing), "id long, part int, vector binary")
 
     base, asked = filed(vectors, False), filed(queries, True)
     # How many blocks each part's rows and queries are dealt to: one row per part.
     sizes = base.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     loads = asked.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).alias("turns"))
     plan = F.broadcast(sizes.join(loads, "part"))
-    dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    dealt = lambda n: F.pmod(F.xxhash64("id", "vector"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     rows = base.join(plan, "part").withColumn("block", dealt("blocks")).withColumn("turn", every("turns"))
     asks = asked.join(plan, "part").withColumn("turn", dealt("turns")).withColumn("block", every("blocks"))
@@ -210,8 +238,9 @@ def nearest(
     def rank(_, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple] = []
         if len(own) and len(asked):
-            own, asked = own.drop_duplicates("id"), asked.drop_duplicates("id")
+            own, asked = own.drop_duplicates(["id", "vector"]), asked.drop_duplicates(["id", "vector"])
             ids = own["id"].to_numpy()
+            alone = own["id"].is_unique
             x = np.frombuffer(b"".join(own["vector"]), float).reshape(len(own), -1)
             length = np.sqrt((x * x).sum(axis=1))
             names = asked["id"].to_numpy()
@@ -220,12 +249,15 @@ def nearest(
                 cosine = (_unit(q[start : start + 64]) @ x.T) / length
                 for i, line in enumerate(cosine):
                     line[ids == names[start + i]] = -3
-                    least = np.partition(line, -k)[-k] if len(line) > k else -2
+                    least = np.partition(line, -k)[-k] if alone and len(line) > k else -2
                     at = np.flatnonzero((line >= least - 1e-9) & (line > -2))
                     # One formula for each pair by itself, so equal vectors score equal.
                     own_q = q[start + i]
                     score = (x[at] * own_q).sum(axis=1) / (length[at] * np.sqrt((own_q * own_q).sum()))
-                    best = np.lexsort((ids[at], -score))[:k]
+                    best = np.lexsort((ids[at], -score))
+                    if not alone:  # the nearest vector of every id
+                        best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])]
+                    best = best[:k]
                     found += [(names[start + i], ids[at][b], score[b]) for b in best]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
@@ -236,5 +268,7 @@ def nearest(
         .applyInPandas(rank, "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # Ids with several vectors may have been found in several blocks.
+    once = near.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -312,6 +312,53 @@ def test_neighbours(spark):
     assert neighbours.nearest(few, few, neighbours.fit(few, "embedding", "vec_id")).count() == 6
 
 
+def plain_nearest(rows, asked, k=5):
+    """The k nearest ids of every asked id, with components scaled by hand and the nearest vector of every id."""
+    unit = [(i, np.array(v) / np.abs(v).max()) for i, v in rows]
+    unit = [(i, v / np.sqrt((v * v).sum())) for i, v in unit]
+    out = {}
+    for q in asked:
+        best = {}
+        for own in (v for i, v in unit if i == q):
+            for i, v in unit:
+                if i != q:
+                    best[i] = max(best.get(i, -2.0), round(float(own @ v), 12))
+        out[q] = sorted(best, key=lambda i: (-best[i], i))[:k]
+    return out
+
+
+def test_neighbours_of_any_length_and_repeated_ids(spark):
+    """Components near the ends of the double range, ids with several vectors, one id in a third of the rows."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 6)) * 10.0 ** rng.choice([-300, -160, 0, 150, 200, 300], 400)[:, None]
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    rows += [(i, [float(c) for c in v]) for i, v in zip(range(0, 100, 5), rng.normal(size=(20, 6)))] + [rows[7]] * 200
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    router = neighbours.fit(vectors, "embedding", "vec_id", parts=8)
+    router.probes = len(router.second[0])
+    found = neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), router).orderBy("query_id", "rank").collect()
+    want = plain_nearest(rows, range(0, 400, 50))
+    assert all(np.isfinite(r.score) and -1 - 1e-9 <= r.score <= 1 + 1e-9 for r in found)
+    assert {q: [r.vec_id for r in found if r.query_id == q] for q in want} == want
+
+
+def test_neighbours_of_sparse_parts_are_complete(spark):
+    """Parts that hold fewer rows than are asked for: all parts are visited then."""
+    rng = np.random.default_rng(6)
+    x = np.r_[rng.normal(size=(600, 8)) * 0.02 + np.eye(8)[0], np.tile(-np.eye(8)[1], (3, 1))]
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    router = neighbours.fit(vectors.filter("vec_id < 600"), "embedding", "vec_id", parts=8)
+    # A router that files the three odd rows apart from all others and looks nowhere else.
+    width = len(router.first[0])
+    router.first, router.second = np.zeros((9, width)), np.zeros((width + 1, 8))
+    router.first[1, 0], router.second[0, 3], router.second[-1, 5], router.probes = -1.0, 10.0, 1.0, 1
+    found = neighbours.nearest(vectors, vectors.filter("vec_id >= 600"), router).orderBy("query_id", "rank").collect()
+    want = plain_nearest(rows, [600, 601, 602])
+    assert {q: [r.vec_id for r in found if r.query_id == q] for q in want} == want
+    assert [r["rank"] for r in found] == [1, 2, 3, 4, 5] * 3
+
+
 def test_running_total_over_ties_and_nulls(spark):
     rng = random.Random(0)
     rows = [(rng.choice(["a", "b", None]), i, rng.randint(0, 9)) for i in range(500)]
@@ -362,6 +409,24 @@ def test_pipeline_on_awkward_rows(spark, docs, empty):
     assert rest.count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark, docs):
+    """Names that the operators use inside, of other types, with a dot, and one of a set-aside column."""
+    names = "kept n_spans n_bytes _row _own _sha _score _lang_pred lang_pred row print n gram first _id place name rate a.b _extra3 keep_id".split()
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    wide = plain
+    for i, name in enumerate(names):
+        wide = wide.withColumn(name, F.struct(F.lit(i).alias("x"), F.col("doc_id").alias("y")) if i % 2 else F.lit(f"v{i}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, wide, None)
+        assert got.columns == wide.columns, name
+        own = sorted(map(str, got.select(*plain.columns).collect()))
+        assert own == sorted(map(str, stage(spark, plain, None).collect())), name
+        for i, column in enumerate(names):
+            value = got.select(F.col(f"`{column}`")).distinct()
+            assert i % 2 or [r[0] for r in value.collect()] == [f"v{i}"], (name, column)
+    assert corpus_pipeline.pack(spark, wide, None).count() == corpus_pipeline.pack(spark, plain, None).count()
+
+
 def test_pipeline_ends_in_token_ids(spark, docs, empty):
     got = corpus_pipeline.pack(spark, docs, None).collect()
     assert got and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
