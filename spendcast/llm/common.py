@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,11 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+def set_aside(docs: DataFrame, used: Collection[str]) -> DataFrame:
+    """``docs`` with all columns but the ``used`` ones named by their place, so that no other name can clash with them."""
+    return docs.toDF(*(c if c in used else f"_extra{i}" for i, c in enumerate(docs.columns)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import ascii_lower, checked_broadcast, partitions, text_of
+from spendcast.llm.common import ascii_lower, checked_broadcast, partitions, set_aside, text_of
 from spendcast.session import materialize
 
 #: Fingerprints that one merged filter should hold, and distinct routed ones that are broadcast (16 MB).
@@ -189,7 +189,8 @@ def exact_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever the names of those."""
+    names, docs = docs.columns, set_aside(docs, ("doc_id", "text"))
     rows = materialize(exact_duplicates(docs).select("doc_id", "text_sha256", "kept"))
     keyed = docs.withColumn("_sha", F.sha2(ascii_lower(text_of()), 256))
     # A copy goes if no row with its doc_id and text stays; of rows equal in both one stays.
@@ -203,4 +204,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         twice = checked_broadcast(twice)
         once = out.join(twice, equal, "left_semi").dropDuplicates(["doc_id", "_sha"])
         out = out.join(twice, equal, "left_anti").union(once)
-    return out.drop("_sha")
+    return out.drop("_sha").toDF(*names)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spendcast.llm.common import fold
+from spendcast.llm.common import fold, set_aside
 
 DIMENSIONS, SAMPLE, FOLDS, UNKNOWN = 1 << 16, 4000, 5, "und"
 SCALE = 40.0  # brings the small shares near one, where the step sizes work
@@ -180,7 +180,7 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, size: int = SAMPLE) -> Model:
-    own = learnable(docs)
+    own = learnable(docs).select("doc_id", "text", "lang")
     languages, rows = sample(own, size)
     if not rows:
         return Model([], np.zeros((DIMENSIONS, 0), np.float32))
@@ -215,7 +215,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def confident(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language of at least this score; the model is fitted on them."""
-    scored = identify(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), fit(docs))
+    """The rows of ``docs`` with a language of at least this score; the model is fitted on them.
+
+    All columns stay, whatever their names.
+    """
+    scored = identify(set_aside(docs, ("doc_id", "text", "lang")), fit(docs))
     kept = scored.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"}).select(*docs.columns)
+    return kept.toDF(*docs.columns)

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import checked_broadcast, components, drop_table
+from spendcast.llm.common import checked_broadcast, components, drop_table, set_aside
 from spendcast.session import materialize
 
 WORDS, PERCENT, BLOCK = 5, 80, 256
@@ -135,7 +135,8 @@ def describe(docs: DataFrame, words: int, percent: int) -> DataFrame:
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, print binary, head array<long>")
+    schema = f"doc_id {kind}, n long, print binary, head array<long>"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def divide_skip(lists: list[list[int]], least: list[int]) -> list[int]:
@@ -309,7 +310,11 @@ def _checked(docs: DataFrame, pairs: DataFrame, one: DataFrame, words: int, perc
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; rows without doc_id stay."""
+    """The rows of ``docs`` whose doc_id is the smallest of its component; rows without doc_id stay.
+
+    All columns stay, whatever their names.
+    """
+    names, docs = docs.columns, set_aside(docs, ("doc_id", "text"))
     classes = link_components(docs, words, percent)
     gone = materialize(classes.filter("component_id != doc_id").select("doc_id").distinct())
-    return docs.join(checked_broadcast(gone), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(checked_broadcast(gone), "doc_id", "left_anti").select(*docs.columns).toDF(*names)

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import BROADCAST_IDS, checked_broadcast, drop_table
+from spendcast.llm.common import BROADCAST_IDS, checked_broadcast, drop_table, set_aside
 from spendcast.llm.suffix_array import suffix_array
 from spendcast.session import materialize
 
@@ -228,7 +228,8 @@ def _segment_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "gram", "print", "first", "last"])
 
-    return docs.select("row", "text").mapInArrow(run, "row long, gram long, print long, first int, last int")
+    schema = "row long, gram long, print long, first int, last int"
+    return docs.select("row", "text").mapInArrow(run, schema)
 
 
 def _with_bytes(docs: DataFrame, members: DataFrame, length: int) -> DataFrame:
@@ -390,7 +391,12 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The documents with repeated strings cut out of ``text``; characters that lost a byte go, too."""
+    """The documents with repeated strings cut out of ``text``; characters that lost a byte go, too.
+
+    All columns stay, whatever their names.
+    """
+    names, kinds = docs.columns, docs.limit(0).schema
+    docs = set_aside(docs, ("doc_id", "text"))
     done = remove(docs, length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,8 +407,8 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             text = [k.decode("utf-8", "ignore") if n else t for k, n, t in zip(kept, spans_, old)]
             own = list(batch.columns[: len(columns)])
             own[position] = pa.array(text, pa.string())
-            yield pa.RecordBatch.from_arrays(own, names=columns)
+            yield pa.RecordBatch.from_arrays(own, names=names)
 
     columns = docs.columns
     position = columns.index("text")
-    return done.select(*columns, "n_spans", "kept").mapInArrow(run, docs.limit(0).schema)
+    return done.select(*columns, "n_spans", "kept").mapInArrow(run, kinds)
