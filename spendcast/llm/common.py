@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,34 @@ def set_aside(docs: DataFrame, used: Collection[str]) -> DataFrame:
     return docs.toDF(*(c if c in used else f"_extra{i}" for i, c in enumerate(docs.columns)))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def handing_back(run: Callable[[Batches], Batches], forget: Callable[[], None] = lambda: None) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``; when a partition ends, tables are emptied by ``forget`` and freed memory goes back to the system.
+
+    Workers serve many stages, and each would otherwise keep the peak of those before it.
+    """
+
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            release_memory()
+
+    return whole
+
+
+def release_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

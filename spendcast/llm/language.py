@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from spendcast.llm.common import fold, set_aside
+from spendcast.llm.common import fold, handing_back, set_aside
 
 DIMENSIONS, SAMPLE, FOLDS, UNKNOWN = 1 << 16, 4000, 5, "und"
 SCALE = 40.0  # brings the small shares near one, where the step sizes work
@@ -211,7 +211,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     kept = set(docs.columns)
     schema = docs.limit(0).schema.add("lang_pred", "string").add("score", "double")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(handing_back(run), schema)
 
 
 def confident(docs: DataFrame, least: float = 0.5) -> DataFrame:

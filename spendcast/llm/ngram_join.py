@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import checked_broadcast, components, drop_table, set_aside
+from spendcast.llm.common import checked_broadcast, components, drop_table, handing_back, set_aside
 from spendcast.session import materialize
 
 WORDS, PERCENT, BLOCK = 5, 80, 256
@@ -57,6 +57,10 @@ class _Words(dict):
 _KNOWN = _Words()
 
 
+def _forget_words() -> None:
+    _KNOWN.clear()
+
+
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Ascending distinct hashes of the shingles. Words end at a space or a control character from 9 to 13."""
     cut = (text or "").encode("utf-8", "replace").lower().split()  # of bytes: A-Z and these characters only
@@ -100,7 +104,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> pd.DataFrame:
         if pending:
             yield settle()
 
-    counted = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(handing_back(run, _forget_words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counted.filter("n > 2").orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
     return top.sort_values(["n", "shingle"])
 
@@ -136,7 +140,7 @@ def describe(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n long, print binary, head array<long>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(handing_back(run, _forget_words), schema)
 
 
 def divide_skip(lists: list[list[int]], least: list[int]) -> list[int]:
@@ -230,7 +234,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    return texts.join(checked_broadcast(ids), "doc").select("doc", "text", "print").mapInArrow(run, "doc long, set binary")
+    return texts.join(checked_broadcast(ids), "doc").select("doc", "text", "print").mapInArrow(handing_back(run, _forget_words), "doc long, set binary")
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import running_total
+from spendcast.llm.common import handing_back, running_total
 from spendcast.session import materialize
 
 WINDOW, GRAIN, END_ID = 2048, 512, 1
@@ -195,11 +195,14 @@ def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
                 [rows, batch.column(0), batch.column(1), counts, pa.array(ids, pa.binary()), wide],
                 names=["row", "doc_id", "source", "doc_tokens", "ids", "wide"],
             )
-        encoder.forget()
+
+    def forget() -> None:
+        if vocabulary in _ENCODERS:
+            _ENCODERS[vocabulary].forget()
 
     kinds = dict(docs.dtypes)
     schema = f"row long, doc_id {kinds['doc_id']}, source {kinds['source']}, doc_tokens long, ids binary, wide boolean"
-    return docs.select("doc_id", "source", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "source", "text").mapInArrow(handing_back(run, forget), schema)
 
 
 def quanta(tokens: DataFrame, window: int, targets: dict[str, float] | None) -> DataFrame:

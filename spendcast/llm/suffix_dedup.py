@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import BROADCAST_IDS, checked_broadcast, drop_table, set_aside
+from spendcast.llm.common import BROADCAST_IDS, checked_broadcast, drop_table, handing_back, set_aside
 from spendcast.llm.suffix_array import suffix_array
 from spendcast.session import materialize
 
@@ -229,7 +229,7 @@ def _segment_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["row", "gram", "print", "first", "last"])
 
     schema = "row long, gram long, print long, first int, last int"
-    return docs.select("row", "text").mapInArrow(run, schema)
+    return docs.select("row", "text").mapInArrow(handing_back(run), schema)
 
 
 def _with_bytes(docs: DataFrame, members: DataFrame, length: int) -> DataFrame:
@@ -251,7 +251,7 @@ def _with_bytes(docs: DataFrame, members: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(v, types.get(n, pa.int64())) for n, v in out.items()], names=list(out))
 
     return texts.join(by_row, "row").select("row", "text", "own").mapInArrow(
-        run, "gram long, print long, row long, first int, last int, data binary"
+        handing_back(run), "gram long, print long, row long, first int, last int, data binary"
     )
 
 
@@ -290,7 +290,7 @@ def _sorted_spans(members: DataFrame, length: int, gram: int) -> DataFrame:
             yield settle()
 
     dealt = members.select("gram", "row", "first", "last", "data").repartition("gram").sortWithinPartitions("gram")
-    return dealt.mapInArrow(run, "row long, start int, stop int")
+    return dealt.mapInArrow(handing_back(run), "row long, start int, stop int")
 
 
 def _counted_spans(members: DataFrame, length: int) -> DataFrame:
@@ -378,7 +378,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
         met = hit.select(*columns, "_own").union(rest.select(*columns, "_own"))
     else:
         met = keyed.join(by_row, "_row", "left").select(*columns, "_own")
-    return met.mapInArrow(run, schema)
+    return met.mapInArrow(handing_back(run), schema)
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -411,4 +411,4 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     columns = docs.columns
     position = columns.index("text")
-    return done.select(*columns, "n_spans", "kept").mapInArrow(run, kinds)
+    return done.select(*columns, "n_spans", "kept").mapInArrow(handing_back(run), kinds)
