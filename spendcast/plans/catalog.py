@@ -24,6 +24,7 @@ from spendcast.operators import (
     quantiles,
     ranking,
     scoring,
+    sketches,
     splits,
 )
 from spendcast.plans import training
@@ -191,6 +192,45 @@ def scoring_input_csv(spark, sf_dir):
     return read.select("customer_id", "note", *FEATURE_COLS)
 
 
+def scoring_input_rejected(spark, sf_dir):
+    """Every fault of a scoring file with short and long lines and with text in number columns."""
+    path = _path(spark, "dirty_scoring")
+    given = _spend(spark, sf_dir)
+    kind = F.pmod(F.col("customer_id").cast("bigint"), F.lit(10))
+    recency, frequency = (F.col(c).cast("bigint").cast("string") for c in ("Recency", "Frequency"))
+    line = F.concat_ws(
+        ",", "customer_id",
+        F.when(kind == 2, F.concat(recency, F.lit(" days"))).when(kind == 3, F.lit("?")).otherwise(recency),
+        F.when(kind == 3, F.lit("n/a")).when(kind == 5, F.lit("")).otherwise(frequency),
+        F.when(kind != 1, F.lit("x")), F.when(kind == 4, F.lit("more")),
+    )
+    # One column under the header of four, so that lines come out as they are.
+    given.select(line.alias("customer_id,Recency,Frequency,note")).write.option("header", True).option("sep", ";").csv(path)
+    good, rejected = transactions.split_scoring_csv(spark, path)
+    faults = rejected.select("reason", "column", "value").groupBy("reason", "column", "value").agg(F.count("*").alias("n"))
+    whole = good.agg(
+        F.lit("accepted").alias("reason"), F.lit(None).cast("string").alias("column"),
+        F.count("Frequency").cast("string").alias("value"), F.count("*").alias("n"),
+    )
+    return faults.union(whole)
+
+
+def sketched_products(spark, sf_dir):
+    """Distinct products per customer over two windows: exact counts, and whether merged sketches are within three errors."""
+    rows, _ = _clean(spark, sf_dir)
+    written = materialize(sketches.monthly_sketches(rows))
+    out = None
+    for name, first in (("ever", None), ("late", "1997-01-01")):
+        lines = rows if first is None else rows.filter(F.col("InvoiceDate") >= F.lit(first).cast("timestamp_ntz"))
+        exact = lines.groupBy("customer_id").agg(F.count_distinct("StockCode").alias("exact"))
+        both = exact.join(sketches.distinct_estimates(written, first), "customer_id", "full")
+        bound = F.ceil(F.col("exact") * F.lit(3 * sketches.standard_error()))
+        near = F.coalesce(F.abs(F.col("estimate") - F.col("exact")) <= bound, F.lit(False))
+        own = both.select("customer_id", F.lit(name).alias("window"), F.col("exact").alias("products"), near.alias("near"))
+        out = own if out is None else out.union(own)
+    return out
+
+
 def bundle_round_trip(spark, sf_dir):
     path = _path(spark, "bundle")
     base = _split(spark, sf_dir)
@@ -804,6 +844,8 @@ _QUERIES: list[Query] = [
     dedup_transactions,
     csv_round_trip,
     csv_published_layout,
+    scoring_input_rejected,
+    sketched_products,
     parquet_round_trip,
     segment_metrics_round_trip,
     scored_round_trip,

@@ -358,6 +358,29 @@ def statements() -> dict[str, str]:
             f"""SELECT customer_id, 'x' AS note, {_defaults({'Recency': 'Recency', 'Frequency': 'Frequency',
                 'Monetary': 'CAST(300 AS DOUBLE)', 'Prob_Alive': 'CAST(0.65 AS DOUBLE)'})} FROM spend"""
         ),
+        "scoring_input_rejected": _sql(
+            """SELECT * FROM (WITH given AS (
+                 SELECT customer_id AS id, CAST(customer_id AS BIGINT) % 10 AS kind,
+                        CAST(CAST(Recency AS BIGINT) AS VARCHAR) AS r, CAST(CAST(Frequency AS BIGINT) AS VARCHAR) AS f
+                 FROM spend),
+               faults AS (
+                 SELECT 'does not fit the layout' AS reason, NULL AS "column", id || ',' || r || ',' || f AS value
+                 FROM given WHERE kind = 1
+                 UNION ALL SELECT 'does not fit the layout', NULL, id || ',' || r || ',' || f || ',x,more' FROM given WHERE kind = 4
+                 UNION ALL SELECT 'not a number', 'Recency', r || ' days' FROM given WHERE kind = 2
+                 UNION ALL SELECT 'not a number', 'Recency', '?' FROM given WHERE kind = 3
+                 UNION ALL SELECT 'not a number', 'Frequency', 'n/a' FROM given WHERE kind = 3)
+               SELECT reason, "column", value, count(*) AS n FROM faults GROUP BY ALL
+               UNION ALL
+               SELECT 'accepted', NULL, CAST(count(CASE WHEN kind <> 5 THEN 1 END) AS VARCHAR), count(*) FROM given
+               WHERE kind NOT BETWEEN 1 AND 4)"""
+        ),
+        "sketched_products": _sql(
+            """SELECT customer_id, 'ever' AS "window", count(DISTINCT StockCode) AS products, true AS near FROM clean GROUP BY customer_id
+               UNION ALL
+               SELECT customer_id, 'late', count(DISTINCT StockCode), true FROM clean
+               WHERE InvoiceDate >= TIMESTAMP '1997-01-01' GROUP BY customer_id"""
+        ),
         "bundle_round_trip": _sql(
             f"SELECT customer_id, round({mean_train}, 6) AS prediction FROM split WHERE split = 'test'"
         ),

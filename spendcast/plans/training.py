@@ -209,9 +209,14 @@ def publish(
     tables.log_runs(spark, f"{path}/runs", experiment, runs)
     tables.write_segment_metrics(tables_of_report["segments"], f"{path}/segment_metrics")
     name = f"{experiment}_champion"
-    bundle = f"bundle/v={tables.next_version(spark, f'{path}/registry', name)}"
-    tables.save_bundle(spark, tuned, f"{path}/{bundle}", data.defaults)
+    version = tables.claim_version(spark, f"{path}/registry", name)
+    bundle = f"bundle/v={version}"
+    try:
+        tables.save_bundle(spark, tuned, f"{path}/{bundle}", data.defaults)
+    except Exception:
+        tables.release_version(spark, f"{path}/registry", name, version)
+        raise
     log, dollar = (tables_of_report[t].first() for t in ("log_metrics", "dollar_metrics"))
     params = {"n_features": len(FEATURE_COLS), "feature_names": FEATURE_COLS, "bundle": bundle, **chosen}
     final = {"dollar_r2": dollar["R2"], "dollar_mae": dollar["MAE"], "log_r2": log["R2"]}
-    return tables.register_champion(spark, f"{path}/registry", name, result.champion, params, final)
+    return tables.register_champion(spark, f"{path}/registry", name, result.champion, params, final, version)

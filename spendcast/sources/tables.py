@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -117,27 +120,53 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register_champion(
-    spark: SparkSession, path: str, name: str, champion: str, params: Mapping, metrics: Mapping
+    spark: SparkSession, path: str, name: str, champion: str, params: Mapping, metrics: Mapping, version: int | None = None
 ) -> int:
-    """Append a champion under the next version number of ``name``; returns the number.
+    """Append a champion under a claimed ``version`` of ``name``, the next one by default; returns the number.
 
-    Numbers are read, then written: one writer at a time. Two at once may get the same number; the
-    later time of registration then counts.
+    Writers at the same time get numbers of their own. A claim whose registration fails is given back.
     """
-    last = next_version(spark, path, name) - 1
-    row = [
-        (
-            name,
-            last + 1,
-            champion,
-            None,
-            {k: str(v) for k, v in params.items()},
-            {k: None if v is None else float(v) for k, v in metrics.items()},
-        )
-    ]
+    given = {k: str(v) for k, v in params.items()}
+    measured = {k: None if v is None else float(v) for k, v in metrics.items()}
+    own = claim_version(spark, path, name) if version is None else version
+    row = [(name, own, champion, None, given, measured)]
     df = spark.createDataFrame(row, REGISTRY_SCHEMA).withColumn("registered_at", F.current_timestamp())
-    df.coalesce(1).write.mode("append").parquet(path)
-    return last + 1
+    try:  # a folder for each entry: writers that share one also share its temporary files
+        df.coalesce(1).write.parquet(f"{path}/entry-{uuid.uuid4().hex}")
+    except Exception:
+        release_version(spark, path, name, own)
+        raise
+    return own
+
+
+def _claim(spark: SparkSession, path: str, name: str, version: int):
+    """The file system and the file whose existence claims a version; readers of the table skip its folder."""
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}_claims/{quote(name, safe='')}/{version}")
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
+
+
+def claim_version(spark: SparkSession, path: str, name: str) -> int:
+    """The lowest version of ``name`` above all registered ones that no other writer holds.
+
+    A version is held by a file that is created only if it is not there, which the file system
+    decides; of two writers one succeeds, the other goes on to the next number.
+    """
+    version = next_version(spark, path, name)
+    while True:
+        files, file = _claim(spark, path, name, version)
+        try:
+            files.create(file, False).close()
+            return version
+        except Py4JJavaError as error:
+            if not files.exists(file):
+                raise error
+            version += 1
+
+
+def release_version(spark: SparkSession, path: str, name: str, version: int) -> None:
+    """Give a claimed version back that was not registered."""
+    files, file = _claim(spark, path, name, version)
+    files.delete(file, False)
 
 
 def next_version(spark: SparkSession, path: str, name: str) -> int:
@@ -151,4 +180,4 @@ def next_version(spark: SparkSession, path: str, name: str) -> int:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    return spark.read.schema(REGISTRY_SCHEMA).option("recursiveFileLookup", True).parquet(path)

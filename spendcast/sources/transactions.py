@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from spendcast.config import FEATURE_COLS, TRANSACTION_COLS, TRANSACTION_SCHEMA
+from spendcast.session import materialize
 
 
 def check_columns(df: DataFrame) -> DataFrame:
@@ -25,18 +26,58 @@ def read_transactions_csv(spark: SparkSession, path: str, timestamp_format: str
     block), so that "first row wins" in deduplication means first in the file.
     """
     reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
-    names = check_columns(reader.csv(path)).columns  # reads the first line only
-    known = {f.name: f for f in TRANSACTION_SCHEMA}
-    layout = StructType([known.get(c, StructField(c, StringType())) for c in names])
+    layout = _transaction_layout(check_columns(reader.csv(path)).columns)  # reads the first line only
     if timestamp_format:
         reader = reader.option("timestampNTZFormat", timestamp_format)
     df = reader.schema(layout).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
-    position = F.struct(
+    return check_columns(df.select(*TRANSACTION_COLS, _place().alias("line_no")))
+
+
+def _transaction_layout(names: list[str]) -> StructType:
+    known = {f.name: f for f in TRANSACTION_SCHEMA}
+    return StructType([known.get(c, StructField(c, StringType())) for c in names])
+
+
+def _place() -> Column:
+    return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return check_columns(df.select(*TRANSACTION_COLS, position.alias("line_no")))
+
+
+#: Holds the whole line of a row that does not fit the layout.
+TORN = "_torn_line"
+
+
+def _tolerant(spark: SparkSession, path: str, layout: StructType, timestamp_format: str | None = None) -> DataFrame:
+    """All lines with their ``place``, parsed once and written; those that do not fit ``layout`` come whole in ``TORN``."""
+    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("mode", "PERMISSIVE")
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
+    # Without pruning, so that a line is judged by all of its fields whatever is selected.
+    reader = reader.option("columnNameOfCorruptRecord", TORN).option("columnPruning", False)
+    df = reader.schema(StructType([*layout.fields, StructField(TORN, StringType())])).csv(path)
+    return materialize(df.withColumn("place", _place()))
+
+
+def split_transactions_csv(
+    spark: SparkSession, path: str, timestamp_format: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`read_transactions_csv`, with malformed lines apart instead of an error.
+
+    Returns the transactions and the rejected lines (place, reason, column, value).
+    """
+    names = check_columns(spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(path)).columns
+    df = _tolerant(spark, path, _transaction_layout(names), timestamp_format)
+    rows = df.filter(F.col(TORN).isNull()).select(*TRANSACTION_COLS, F.col("place").alias("line_no"))
+    return rows, df.filter(F.col(TORN).isNotNull()).select("place", *_torn_reason())
+
+
+def _torn_reason() -> list[Column]:
+    return [
+        F.lit("does not fit the layout").alias("reason"), F.lit(None).cast("string").alias("column"), F.col(TORN).alias("value")
+    ]
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -51,6 +92,32 @@ def read_scoring_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns(known) if known else df
 
 
+def split_scoring_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """As :func:`read_scoring_csv`, with the rows that cannot be scored as given apart.
+
+    A line with too few or too many fields is rejected, and so is one with a feature that is neither
+    empty nor a finite number. Returns the rows to score and one row (place, reason, column, value)
+    for every fault, the value being the whole line where the line is torn. The file's columns
+    cannot be named ``place`` or ``_torn_line``.
+    """
+    names = spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(path).columns
+    df = _tolerant(spark, path, StructType([StructField(c, StringType()) for c in names]))
+    features = [c for c in names if c in FEATURE_COLS]
+    number = {c: F.col(c).try_cast("double") for c in features}
+    finite = {c: F.coalesce(F.abs(n) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(n) for c, n in number.items()}
+    faults = [
+        F.when(F.col(c).isNotNull() & ~finite[c], F.struct(F.lit("not a number").alias("reason"), F.lit(c).alias("column"), F.col(c).alias("value")))
+        for c in features
+    ]
+    own = F.filter(F.array(*faults), lambda x: x.isNotNull()) if faults else None
+    whole = df.filter(F.col(TORN).isNull())
+    good = whole.filter(F.size(own) == 0) if faults else whole
+    rejected = df.filter(F.col(TORN).isNotNull()).select("place", *_torn_reason())
+    if faults:
+        rejected = rejected.union(whole.select("place", F.inline(own)))
+    return good.withColumns(number).select(*names) if number else good.select(*names), rejected
+
+
 def orders_as_transactions(
     spark: SparkSession,
     sf_dir: str,
