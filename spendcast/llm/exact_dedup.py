@@ -26,6 +26,8 @@ from spendcast.session import materialize
 
 #: Fingerprints that one merged filter should hold, and distinct routed ones that are broadcast (16 MB).
 RANGE_ITEMS, BROADCAST_ITEMS = 1_000_000, 1_000_000
+#: Groups of copies that are broadcast, with the hexadecimal digest of their text (about 20 MB).
+BROADCAST_GROUPS = 100_000
 
 
 class CountingQuotientFilter:
@@ -159,8 +161,24 @@ def repeated_fingerprints(prints: DataFrame, bits: int = 64, items: int | None =
     return filters.groupBy("home").applyInPandas(merge, "print long, n long")
 
 
+def with_copies(rows: DataFrame, table: DataFrame, key: str, size: str, items: int, limit: int) -> DataFrame:
+    """Left join with a table of one row per repeated key, ``size`` rows of all ``items`` each.
+
+    Up to ``limit`` keys are broadcast. Beyond, only keys that own over 1/1000 of the rows are, at most
+    1000 of them, and the join of the rest is shuffled.
+    """
+    if table.limit(limit + 1).count() <= limit:
+        return rows.join(F.broadcast(table), key, "left")
+    hot = F.broadcast(table.filter(F.col(size) * 1000 > items))
+    rest = rows.join(hot.select(key), key, "left_anti").join(table, key, "left")
+    return rows.join(hot, key).unionByName(rest)
+
+
 def exact_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """One row per document: (row, doc_id, keep_id, group_size, kept, text_sha256)."""
+    """One row per document: (row, doc_id, keep_id, group_size, kept, text_sha256).
+
+    Only rows whose fingerprint the merged filters count more than once are grouped and compared.
+    """
     normal = ascii_lower(text_of())
     rows = materialize(
         docs.select(
@@ -168,19 +186,22 @@ def exact_duplicates(docs: DataFrame, bits: int = 64) -> DataFrame:
             fingerprint(normal, bits).alias("print"), F.sha2(normal, 256).alias("text_sha256"),
         )
     )
-    repeated = materialize(repeated_fingerprints(rows, bits))
-    routed = F.broadcast(repeated) if repeated.count() <= BROADCAST_ITEMS else repeated
+    items = rows.count()
+    repeated = materialize(repeated_fingerprints(rows, bits, items))
     texts = docs.select(normal.alias("normal"), fingerprint(normal, bits).alias("print"))
+    routed_texts = with_copies(texts, repeated, "print", "n", items, BROADCAST_ITEMS).filter("n is not null")
     # Equal bytes within a fingerprint, counted in every task before anything is shuffled.
-    equal = texts.join(routed.select("print"), "print", "left_semi").groupBy("print", "normal").agg(F.count("*").alias("n"))
-    verified = materialize(equal.filter("n > 1").select(F.sha2("normal", 256).alias("text_sha256")))
+    equal = routed_texts.groupBy("print", "normal").agg(F.count("*").alias("group_size")).filter("group_size > 1")
+    verified = equal.select(F.sha2("normal", 256).alias("text_sha256"), "group_size")
+    flagged = with_copies(rows, repeated, "print", "n", items, BROADCAST_ITEMS)
+    routed, single = flagged.filter("n is not null"), flagged.filter("n is null")
     best = F.max(F.struct("doc_id", "row")).alias("best")
-    # Added up in every task first: a group may hold a third of all rows.
-    sizes = rows.groupBy("text_sha256").agg(best, F.count("*").alias("group_size")).filter("group_size > 1")
-    groups = sizes.join(verified, "text_sha256", "left_semi")
-    joined = rows.join(groups, "text_sha256", "left")
+    # The largest row of a text, found in every task first: a group may hold a third of all rows.
+    groups = materialize(verified.join(routed.groupBy("text_sha256").agg(best), "text_sha256"))
+    named = with_copies(routed, groups, "text_sha256", "group_size", items, BROADCAST_GROUPS)
+    out = named.unionByName(single, allowMissingColumns=True)
     alone = F.col("best").isNull()
-    return joined.select(
+    return out.select(
         "row", "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce(F.col("group_size"), F.lit(1)).cast("long").alias("group_size"),
