@@ -91,7 +91,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["code", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    sums = docs.select("text").mapInArrow(handing_back(run), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(DIMENSIONS + 1, np.int64)
     out[sums["code"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
     return out
@@ -125,7 +125,7 @@ def sample(docs: DataFrame, size: int = SAMPLE) -> tuple[list[str], list[tuple[i
         .filter(F.col("place") < F.col("rate"))
         .select("lang", "text", (F.col("place") / F.col("rate")).alias("place"))
     )
-    rows = chosen.mapInArrow(run, "lang string, codes binary, counts binary, place double").collect()
+    rows = chosen.mapInArrow(handing_back(run), "lang string, codes binary, counts binary, place double").collect()
     number = {x: i for i, x in enumerate(languages)}
     made = [(number[r[0]], np.frombuffer(r[1], np.int32), np.frombuffer(r[2], np.int32), r[3]) for r in rows]
     return languages, sorted((m for m in made if len(m[1])), key=lambda m: m[3])

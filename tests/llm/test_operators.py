@@ -462,6 +462,21 @@ def test_stages_keep_columns_of_any_name(spark, docs):
     assert corpus_pipeline.pack(spark, wide, None).count() == corpus_pipeline.pack(spark, plain, None).count()
 
 
+def test_stages_give_the_same_rows_in_small_batches(spark, docs):
+    key, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", lambda df: sorted(map(str, df.collect()))
+    stages, before = [corpus_pipeline.cut_passages, corpus_pipeline.pack], spark.conf.get(key)
+    source = docs.filter("doc_id is not null")
+    try:
+        spark.conf.set(key, "5")
+        small = [rows(stage(spark, source, "")) for stage in stages]
+        assert spark.conf.get(key) == "5"  # a smaller setting stays
+        spark.conf.set(key, "10000")
+        assert [rows(stage(spark, source, "")) for stage in stages] == small
+        assert spark.conf.get(key) == str(corpus_pipeline.BATCH_ROWS)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_pipeline_ends_in_token_ids(spark, docs, empty):
     got = corpus_pipeline.pack(spark, docs, None).collect()
     assert got and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
