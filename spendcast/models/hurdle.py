@@ -10,7 +10,6 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.util import (
     DefaultParamsReader,
     DefaultParamsWriter,
@@ -22,6 +21,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, functions as F
 
 from spendcast.config import SETTINGS
+from spendcast.operators import isotonic
 from spendcast.operators.evaluation import class_weights
 from spendcast.operators.scoring import hurdle_dollars
 
@@ -51,14 +51,11 @@ class HurdleRegressor(Estimator, _HurdleParams):
     ``balance`` weights the classes: ``"balanced"`` gives n / (2 n_class) to each,
     ``"positive"`` gives max(1, n_neg / n_pos) to spenders, ``"none"`` nothing.
     ``calibrationFraction`` keeps that share of the rows (by hash) away from the classifier and
-    calibrates on them; 0 calibrates on the training rows. ``probabilityGrid`` is the number of
-    distinct probabilities that reach the isotonic fit, whose last step runs in one place; rows
-    within a cell are averaged, so a calibrated value moves by less than one cell.
+    calibrates on them; 0 calibrates on the training rows.
     """
 
     balance = Param(Params._dummy(), "balance", "balanced, positive or none", TypeConverters.toString)
     calibrationFraction = Param(Params._dummy(), "calibrationFraction", "held-out share", TypeConverters.toFloat)
-    probabilityGrid = Param(Params._dummy(), "probabilityGrid", "cells of the isotonic fit", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
@@ -72,14 +69,13 @@ class HurdleRegressor(Estimator, _HurdleParams):
         balance: str = "none",
         calibrationFraction: float = 0.0,
         logMax: float = SETTINGS.log_pred_max,
-        probabilityGrid: int = 1_000_000,
     ):
         super().__init__()
         self._defaults()
         kwargs = dict(self._input_kwargs)
         self.classifier = kwargs.pop("classifier")
         self.regressor = kwargs.pop("regressor")
-        self._setDefault(balance="none", calibrationFraction=0.0, probabilityGrid=1_000_000)
+        self._setDefault(balance="none", calibrationFraction=0.0)
         self._set(**kwargs)
 
     def copy(self, extra=None) -> "HurdleRegressor":
@@ -132,24 +128,18 @@ class HurdleRegressor(Estimator, _HurdleParams):
             ).fit(rows.filter(F.col(label) > 0))
         model = HurdleModel(
             classifier=classifier,
-            calibrator=_calibrate(classifier, calibration_rows, self.getOrDefault(self.probabilityGrid)),
+            calibrator=_calibrate(classifier, calibration_rows),
             regressor=regressor,
             fallback=float(counts["mean_positive"] or 0.0),
         )
         return self._copyValues(model)
 
 
-def _calibrate(classifier: Model, rows: DataFrame, grid: int) -> Model | None:
+def _calibrate(classifier: Model, rows: DataFrame) -> Model | None:
     """Isotonic fit of the observed rate on the predicted probability; ``None`` without both classes."""
-    scored = classifier.transform(rows).select(
-        vector_to_array("_probability")[1].alias("p"), F.col("_spends").alias("y")
-    )
-    points = scored.groupBy(F.floor(F.col("p") * grid).alias("cell")).agg(
-        F.avg("p").alias("p"), F.avg("y").alias("y"), F.count("*").cast("double").alias("w")
-    )
-    isotonic = IsotonicRegression(featuresCol="p", labelCol="y", weightCol="w", predictionCol="_calibrated")
+    scored = classifier.transform(rows).select(vector_to_array("_probability")[1].alias("p"), F.col("_spends").alias("y"))
     try:
-        return isotonic.fit(points)
+        return isotonic.model(isotonic.blocks(scored)).setFeaturesCol("p").setPredictionCol("_calibrated")
     except Exception as error:  # as published: a failed calibration leaves the raw probability
         logger.warning("calibration failed, raw probabilities are used: %s", error)
         return None

@@ -19,6 +19,7 @@ from spendcast.operators import (
     evaluation,
     explain,
     features,
+    isotonic,
     leaderboard,
     metrics,
     quantiles,
@@ -571,6 +572,12 @@ def calibration_curve(spark, sf_dir):
     return _round(out, 8, "mean_predicted", "observed_rate")
 
 
+def isotonic_blocks(spark, sf_dir):
+    spends = (F.col("actual") > 0).cast("double")
+    found = isotonic.blocks(_scored(spark, sf_dir).withColumn("spends", spends), "prob_spend", "spends")
+    return found.select("low", "high", F.col("weight").cast("bigint").alias("n"), F.round("mean", 9).alias("rate"))
+
+
 def residual_histogram(spark, sf_dir):
     rounded = _round(evaluation.residuals(_scored(spark, sf_dir)), 9, "residual")
     return _round(_big(evaluation.histogram(rounded, "residual", 50), "bin"), 5, "left_edge", "density")
@@ -902,6 +909,7 @@ _QUERIES: list[Query] = [
     lift_points,
     gain_position,
     calibration_curve,
+    isotonic_blocks,
     residual_histogram,
     probability_histogram,
     representative_customers,

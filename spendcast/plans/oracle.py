@@ -557,6 +557,20 @@ def statements() -> dict[str, str]:
                       round(avg(CASE WHEN actual > 0 THEN CAST(1 AS DOUBLE) ELSE 0 END), 8) AS observed_rate,
                       count(*) AS n FROM scored GROUP BY ALL"""
         ),
+        "isotonic_blocks": _sql(
+            """SELECT min(p) AS low, max(p) AS high, CAST(sum(own) AS BIGINT) AS n, round(mean, 9) AS rate FROM (
+                 WITH points AS (
+                   SELECT prob_spend AS p, count(*) AS own, sum(CAST(actual > 0 AS BIGINT)) AS hits FROM scored GROUP BY 1),
+                 sums AS (
+                   SELECT *, row_number() OVER (ORDER BY p) AS k, CAST(sum(own) OVER (ORDER BY p) AS DOUBLE) AS n,
+                          CAST(sum(hits) OVER (ORDER BY p) AS DOUBLE) AS t FROM points),
+                 spans AS (
+                   SELECT a.k AS i, b.k AS j, (b.t - a.t + a.hits) / (b.n - a.n + a.own) AS mean
+                   FROM sums a JOIN sums b ON b.k >= a.k),
+                 lowest AS (SELECT j, min(mean) OVER (PARTITION BY i ORDER BY j DESC) AS mean FROM spans)
+                 SELECT p, own, m.mean FROM sums JOIN (SELECT j, max(mean) AS mean FROM lowest GROUP BY j) m ON m.j = sums.k)
+               GROUP BY mean"""
+        ),
         "residual_histogram": _sql(
             _histogram("SELECT round(log_actual - log_predicted, 9) AS v FROM scored", 50, None)
         ),
