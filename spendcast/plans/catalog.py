@@ -106,9 +106,15 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> training.Prepared:
+    """With the estimates of fixed parameters, as SQL has them."""
     return training.prepare(_raw(spark, sf_dir), WIDE, purchases=PURCHASES, values=VALUES)
 
 
+def _trained(spark: SparkSession, sf_dir: str) -> training.Prepared:
+    """With the estimates of parameters fitted to the train customers."""
+    return training.prepare(_raw(spark, sf_dir), WIDE)
+
+
 def _path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -648,7 +654,7 @@ def cv_summary(spark, sf_dir):
     )
 
 
-def _board(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _board(spark: SparkSession, sf_dir: str, **more: Column) -> DataFrame:
     """A leaderboard of plain predictors on all customers. Nothing is fitted, so CV is the log MAE."""
     base = _spend(spark, sf_dir)
     mean = base.agg(F.avg("log_target").alias("m")).scalar()
@@ -659,6 +665,7 @@ def _board(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Last Value": F.col("Monetary"),
         "Half Value": F.col("Monetary") / 2,
         "Revenue Rate": F.col("Revenue_Per_Day") * SETTINGS.horizon_days,
+        **more,
     }
     named = F.array(*[F.struct(F.lit(n).alias("Model"), F.round(c, 6).alias("p")) for n, c in predictors.items()])
     long = base.select(F.col("Next_3M_Spend").alias("actual"), F.explode(named).alias("x")).select(
@@ -698,6 +705,20 @@ def leaderboard_select(spark, sf_dir):
     return _round(best.unionByName(members), 8, "weight")
 
 
+def leaderboard_gate(spark, sf_dir):
+    """Champion and members under the published gate. Four predictors know a share of the outcome; few others pass."""
+    actual, rate = F.col("Next_3M_Spend"), _rate_value()
+    share = {f"Knows {k} Tenths": (actual * k + rate * (10 - k)) / 10 for k in (2, 5, 7, 9)}
+    board = _board(spark, sf_dir, **share)
+    best = leaderboard.champion(board).select("Model", F.lit(1).alias("champion"))
+    members = leaderboard.ensemble_members(board).select("Model", F.round("weight", 8).alias("weight"))
+    out = board.select("Model", F.round("Dollar_R2", 6).alias("Dollar_R2"))
+    passing = leaderboard.eligible(board).select("Model", F.lit(1).alias("eligible"))
+    for part in (passing, best, members):
+        out = out.join(part, "Model", "left")
+    return out.select("Model", "Dollar_R2", *[F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c) for c in ("eligible", "champion")], F.coalesce("weight", F.lit(0.0)).alias("weight"))
+
+
 def leaderboard_flags(spark, sf_dir):
     flagged = leaderboard.with_best_flags(_board(spark, sf_dir))
     flags = [c for c in flagged.columns if c.startswith("best_")]
@@ -751,23 +772,23 @@ def _hurdle(data: training.Prepared):
 
 
 def train_leaderboard(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     return selection.benchmark(data.train, data.test, size=TREES, settings=WIDE, parallelism=8).board
 
 
 def hurdle_predict(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     return _hurdle(data).transform(data.test).select("customer_id", "prob_spend", "prediction")
 
 
 def isotonic_calibration(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     scored = training.scored_frame(_hurdle(data), data.test, WIDE)
     return evaluation.calibration_curve(scored)
 
 
 def grid_tuning(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     train = data.train
     name = "Ridge (L2)"
     model = _candidates(train.count(), name)[name]
@@ -777,7 +798,7 @@ def grid_tuning(spark, sf_dir):
 
 
 def ensemble_predict(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     train = data.train
     models = _candidates(train.count(), "Random Forest", "ElasticNet")
     ensemble = EnsembleModel([m.fit(train) for m in models.values()], [0.7, 0.3], list(models))
@@ -785,17 +806,17 @@ def ensemble_predict(spark, sf_dir):
 
 
 def feature_importance(spark, sf_dir):
-    return evaluation.top_per_stage(explain.feature_importance(spark, _hurdle(_prepared(spark, sf_dir))))
+    return evaluation.top_per_stage(explain.feature_importance(spark, _hurdle(_trained(spark, sf_dir))))
 
 
 def shapley_sampled(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     rows = explain.background_rows(data.train)
     return explain.mean_abs(explain.shapley_values(_hurdle(data), data.test, rows))
 
 
 def _explained(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     model = _hurdle(data)
     chosen = evaluation.representatives(training.scored_frame(model, data.test, WIDE))
     return data, model, materialize(data.test.join(F.broadcast(chosen.select("customer_id", "profile")), "customer_id"))
@@ -815,19 +836,19 @@ def attribution_agreement(spark, sf_dir):
 
 
 def monotonicity_audit(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     return explain.monotonicity_audit(_hurdle(data), data.test)
 
 
 def batch_score(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     given = data.test.select("customer_id", "Recency", "Frequency", "Monetary")
     return scoring.score(_hurdle(data), given, data.defaults, WIDE)
 
 
 def single_score(spark, sf_dir):
     """The best customer by spend, scored alone and placed in the scored base."""
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     model = _hurdle(data)
     one = data.test.orderBy(F.desc("Next_3M_Spend"), "customer_id").limit(1).select("customer_id", *FEATURE_COLS)
     scored = scoring.score(model, one, data.defaults, WIDE).withColumnRenamed("CLV_Predicted_90d", "predicted")
@@ -836,7 +857,7 @@ def single_score(spark, sf_dir):
 
 
 def evaluation_report(spark, sf_dir):
-    data = _prepared(spark, sf_dir)
+    data = _trained(spark, sf_dir)
     parts = training.report(_hurdle(data), data)
     counted = [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows") for n, t in parts.items()]
     out = counted[0]
@@ -923,6 +944,7 @@ _QUERIES: list[Query] = [
     leaderboard_table,
     leaderboard_select,
     leaderboard_flags,
+    leaderboard_gate,
     weighted_log_mean,
     feature_table,
     train_leaderboard,

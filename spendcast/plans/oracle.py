@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendcast.config import FEATURE_COLS
+from spendcast.config import FEATURE_COLS, SETTINGS
 from spendcast.plans.catalog import EVENT_HORIZON, PURCHASES, VALUES, WIDE
 
 R, ALPHA, A, B = (f"CAST({v} AS DOUBLE)" for v in (PURCHASES.r, PURCHASES.alpha, PURCHASES.a, PURCHASES.b))
@@ -623,6 +623,24 @@ def statements() -> dict[str, str]:
                 UNION ALL SELECT Model, 'member', round(weight, 8) FROM members"""
         ),
         "leaderboard_flags": _sql(f"SELECT Model, {flags} FROM board"),
+        "leaderboard_gate": _sql(
+            f"""SELECT Model, round(Dollar_R2, 6) AS Dollar_R2, CAST(eligible AS BIGINT) AS eligible,
+                       CAST(eligible AND CV_MAE_Mean = min(CASE WHEN eligible THEN CV_MAE_Mean END) OVER () AS BIGINT) AS champion,
+                       CASE WHEN member THEN round(w / sum(CASE WHEN member THEN w END) OVER (), 8) ELSE CAST(0 AS DOUBLE) END AS weight
+                FROM (SELECT *, eligible AND count(CASE WHEN eligible THEN 1 END) OVER () >= 2
+                                AND row_number() OVER (ORDER BY eligible DESC, Dollar_R2 DESC, Model) <= 3 AS member,
+                             1 / (Dollar_MAE + CAST(1e-8 AS DOUBLE)) AS w
+                      FROM (SELECT *, Dollar_R2 > CAST({SETTINGS.min_dollar_r2} AS DOUBLE)
+                                      AND Model NOT IN ('Naive Baseline (Mean)', 'BTYD Statistical Baseline') AS eligible
+                            FROM (WITH known AS (
+                                    SELECT Model, actual, log_actual, predicted, log_predicted FROM long UNION ALL
+                                    SELECT 'Knows ' || k || ' Tenths', actual, log_actual, p, ln(1 + p) FROM
+                                      (SELECT k, actual, log_actual, round((actual * k + predicted * (10 - k)) / 10, 6) AS p
+                                       FROM long, (SELECT unnest([2, 5, 7, 9]) AS k) WHERE Model = 'Rate x Value'))
+                                  SELECT Model, {_metrics('actual', 'predicted', ('MAE', 'R2'), 'Dollar_')},
+                                         avg(abs(log_actual - log_predicted)) AS CV_MAE_Mean
+                                  FROM known GROUP BY Model)))"""
+        ),
         "weighted_log_mean": _sql(
             """SELECT customer_id, round((log_predicted / (ma + CAST(1e-8 AS DOUBLE))
                       + ln(1 + round(predicted * prob_spend, 6)) / (mb + CAST(1e-8 AS DOUBLE)))
