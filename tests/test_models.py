@@ -193,3 +193,17 @@ def test_registry_versions_and_null_metrics(spark, tmp_path):
     row = tables.read_runs(spark, runs).first()
     assert row["metrics"] == {"wape": None, "mae": 2.0} and row["params"] == {"p": "1"}
     assert tables.read_segment_metrics(spark, str(tmp_path / "none")) is None
+
+
+def test_folds_keep_no_partitions_of_their_shuffle(spark, customers):
+    """Every level of every tree is a pass with a task per partition, so few rows must not keep many."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        folded = selection.kept_folds(customers, 5)
+        plain = selection.with_folds(customers, 5)
+        assert folded.rdd.getNumPartitions() <= 8
+        assert sorted(folded.select("customer_id", "fold").collect()) == sorted(plain.select("customer_id", "fold").collect())
+        folded.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
