@@ -43,7 +43,8 @@ def _letters(kind: str) -> str:
 
 #: Runs of these characters are cut to words here, by the tokenizer's own rule; composing accents and
 #: lower-casing do nothing to them that ``str.lower`` doesn't.
-PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
+PLAIN = "!-~\xa1-\u012f\u0131-\u024f"
+OTHER = re.compile(f"[^ {PLAIN}]")
 WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_letters('L')}]+|[{_letters('N')}]|[^\\s{_letters('L')}{_letters('N')}]+")
 
 
@@ -119,27 +120,37 @@ class ChunkEncoder:
             return np.array(self.ranks.encode_ordinary(ended), self.kind)
         return self._encode(ended.replace("\0", " "))
 
+    def _unplain(self, runs: list[str], joined: str) -> set[str]:
+        """The runs (``joined`` by single spaces) that hold other characters than ``PLAIN`` or a special token."""
+        found, at = set(), OTHER.search(joined)
+        while at:
+            begin, end = joined.rfind(" ", 0, at.start()) + 1, joined.find(" ", at.end())
+            found.add(joined[begin : end if end >= 0 else None])
+            at = OTHER.search(joined, end) if end >= 0 else None
+        if any(x in joined for x in self.special):
+            found.update(r for r in runs if any(x in r for x in self.special))
+        return found
+
     def _learn(self, runs: list[str]) -> None:
-        plain = []
-        for run in runs:
-            if PLAIN.fullmatch(run) and ("<" not in run or not any(x in run for x in self.special)):
-                plain.append(run)
-            else:
-                self.known[run] = self._encode(run).tobytes()
+        plain, joined = runs, " ".join(runs)
+        other = self._unplain(runs, joined)
+        if other:
+            plain = [r for r in runs if r not in other]
+            joined = " ".join(plain)
+            self.known.update((run, self._encode(run).tobytes()) for run in other)
         if not plain:
             return
         # One call for all of them: every word gets an end, and the last token of every word is marked.
-        marked = WORD.sub("\\g<0>\0", " ".join(plain).lower())
-        counts = [m.count("\0") for m in marked.split(" ")]
+        marked = WORD.sub("\\g<0>\0", joined.lower())
+        symbols = np.frombuffer(marked.encode("utf-8", "surrogatepass"), np.uint8)
+        words = np.r_[np.searchsorted(np.flatnonzero(symbols == 0), np.flatnonzero(symbols == 32)), np.count_nonzero(symbols == 0)]
         ids = self._encode_words(marked.replace(" ", ""))
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(counts) != len(plain) or len(ends) != sum(counts):
+        if len(words) != len(plain) or len(ends) != words[-1]:
             self.known.update((run, self._encode(run).tobytes()) for run in plain)
             return
-        data, width, start = ids.tobytes(), self.kind.itemsize, 0
-        for run, end in zip(plain, (np.r_[0, ends][np.cumsum(counts)] * width).tolist()):
-            self.known[run] = data[start:end]
-            start = end
+        data, places = ids.tobytes(), (np.r_[0, np.r_[0, ends][words]] * self.kind.itemsize).tolist()
+        self.known.update(zip(plain, map(data.__getitem__, map(slice, places, places[1:]))))
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -151,8 +162,8 @@ class ChunkEncoder:
             known.clear()
         cut = [CHUNK.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
         missing = set().union(*cut) - known.keys()
-        long = [r for r in missing if len(r) > self.long_run]
-        self._learn(list(missing.difference(long)))
+        long = [r for r in missing if len(r) > self.long_run] if max(map(len, missing), default=0) > self.long_run else []
+        self._learn(list(missing.difference(long) if long else missing))
         for run in long:
             known[run] = self._encode(run).tobytes()
         found = [b"".join(map(known.__getitem__, runs)) for runs in cut]

@@ -165,3 +165,12 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert np.bincount(label, minlength=8).max() <= 106
     assert (label[graph] == label[:, None]).mean() > 0.6
 
+
+def test_new_runs_beside_odd_ones():
+    """Runs that hold odd characters or a special token are told apart wherever they stand among new runs."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = packing.ChunkEncoder(path)
+    special = own.special[0] if own.special else "<x>"
+    for text in (f"{special} a b", f"a b{special}", f"\u65e5 a\u65e5b c \u65e5", "a\x1cb don't \u0130x \u0131 q", "x", "", "a\0b c"):
+        own.forget()
+        assert own.encode(text) == own._encode(text).tobytes()
