@@ -346,22 +346,39 @@ def cut(data: bytes, own: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(kept), runs
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The columns of ``docs`` with ``n_bytes``, ``n_spans`` and ``kept`` (the remaining bytes)."""
-    docs = docs.drop("n_bytes", "n_spans", "kept")
+def _met(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """The columns of ``docs`` with ``_own``, the stretches to cut out of each text (null: none)."""
     keyed = docs.withColumn("_row", _row())
     found = materialize(spans(docs.select(_row().alias("row"), "text"), length, gram))
     by_row = materialize(found.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "stop")).alias("_own")))
     drop_table(found)
     columns = docs.columns
+    ids = by_row.select("_row")
+    if ids.count() > BROADCAST_IDS:
+        return keyed.join(by_row, "_row", "left").select(*columns, "_own")
+    # Only texts that lose something meet their stretches in a shuffle.
+    hit = keyed.join(F.broadcast(ids), "_row", "left_semi").join(by_row, "_row")
+    rest = keyed.join(F.broadcast(ids), "_row", "left_anti").withColumn("_own", F.lit(None).cast(by_row.schema["_own"].dataType))
+    return hit.select(*columns, "_own").union(rest.select(*columns, "_own"))
+
+
+def _cuts(texts: pa.Array, own: pa.Array) -> Iterator[tuple[str | None, bytes, bytes, int]]:
+    """For every text: itself, its bytes, what is left of them, and the number of removed runs."""
+    for text, stretches in zip(texts.to_pylist(), own.to_pylist()):
+        data = (text or "").encode("utf-8", "replace")
+        yield text, data, *cut(data, [(s["start"], s["stop"]) for s in stretches or []])
+
+
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """The columns of ``docs`` with ``n_bytes``, ``n_spans`` and ``kept`` (the remaining bytes)."""
+    docs = docs.drop("n_bytes", "n_spans", "kept")
+    columns = docs.columns
     position = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, runs, kept = [], [], []
-            for text, own in zip(batch.column(position).to_pylist(), batch.column(len(columns)).to_pylist()):
-                data = (text or "").encode("utf-8", "replace")
-                left, n = cut(data, [(s["start"], s["stop"]) for s in own or []])
+            for _, data, left, n in _cuts(batch.column(position), batch.column(len(columns))):
                 sizes.append(len(data))
                 runs.append(n)
                 kept.append(left)
@@ -370,15 +387,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=names)
 
     schema = docs.limit(0).schema.add("n_bytes", "long").add("n_spans", "long").add("kept", "binary")
-    ids = by_row.select("_row")
-    few = ids.count() <= BROADCAST_IDS
-    if few:  # only texts that lose something meet their stretches in a shuffle
-        hit = keyed.join(F.broadcast(ids), "_row", "left_semi").join(by_row, "_row")
-        rest = keyed.join(F.broadcast(ids), "_row", "left_anti").withColumn("_own", F.lit(None).cast(by_row.schema["_own"].dataType))
-        met = hit.select(*columns, "_own").union(rest.select(*columns, "_own"))
-    else:
-        met = keyed.join(by_row, "_row", "left").select(*columns, "_own")
-    return met.mapInArrow(handing_back(run), schema)
+    return _met(docs, length, gram).mapInArrow(handing_back(run), schema)
 
 
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -393,22 +402,19 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with repeated strings cut out of ``text``; characters that lost a byte go, too.
 
-    All columns stay, whatever their names.
+    All columns stay, whatever their names. Texts are cut and decoded in one step: two would send each
+    text to Python twice and hold two workers a task.
     """
     names, kinds = docs.columns, docs.limit(0).schema
     docs = set_aside(docs, ("doc_id", "text"))
-    done = remove(docs, length)
+    columns = docs.columns
+    position = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = batch.column(batch.num_columns - 1).to_pylist()
-            spans_ = batch.column(batch.num_columns - 2).to_pylist()
-            old = batch.column(position).to_pylist()
-            text = [k.decode("utf-8", "ignore") if n else t for k, n, t in zip(kept, spans_, old)]
+            cuts = _cuts(batch.column(position), batch.column(len(columns)))
             own = list(batch.columns[: len(columns)])
-            own[position] = pa.array(text, pa.string())
+            own[position] = pa.array([left.decode("utf-8", "ignore") if n else text for text, _, left, n in cuts], pa.string())
             yield pa.RecordBatch.from_arrays(own, names=names)
 
-    columns = docs.columns
-    position = columns.index("text")
-    return done.select(*columns, "n_spans", "kept").mapInArrow(handing_back(run), kinds)
+    return _met(docs, length, GRAM).mapInArrow(handing_back(run), kinds)

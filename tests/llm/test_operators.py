@@ -185,6 +185,18 @@ def test_removals(docs, empty, bucket, monkeypatch):
     assert suffix_dedup.removals(empty).count() == 0
 
 
+def test_cleaned_sends_texts_to_python_once(spark):
+    """Cutting and decoding in two steps would hold two workers a task."""
+    rng = random.Random(3)
+    shared = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 20)} {shared} {i}" if i else None) for i in range(6)]
+    done = suffix_dedup.cleaned(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 2  # one for each side of a union at most
+    assert done._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    texts = {r["doc_id"]: r["text"] for r in done.collect()}
+    assert texts[0] is None and all(shared not in texts[i] for i in range(1, 6)) and texts[5].endswith("5")
+
+
 def test_cleaned_cuts_no_character_in_half(docs):
     got = suffix_dedup.cleaned(docs)
     assert got.columns == docs.columns and got.count() == docs.count()
