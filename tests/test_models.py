@@ -207,3 +207,13 @@ def test_folds_keep_no_partitions_of_their_shuffle(spark, customers):
         folded.unpersist()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_forests_keep_the_node_of_every_row(customers):
+    """Node ids are cached, which changes no tree."""
+    models = zoo.build(240, 0.01)
+    two = models["Two-Stage (Random Forest)"]
+    assert all(m.getCacheNodeIds() for m in (models["Random Forest"], two.classifier, two.regressor))
+    forest = models["Random Forest"]
+    walked = forest.copy({forest.cacheNodeIds: False})
+    assert forest.fit(customers).toDebugString.split("\n")[1:] == walked.fit(customers).toDebugString.split("\n")[1:]
