@@ -137,3 +137,20 @@ def test_no_repeats_at_a_plus_b_of_one(spark):
         for k in (btyd.PurchaseParams(r=0.8, alpha=50.0, a=0.4, b=b) for b in (0.6001, 0.6))
     )
     assert all(abs(p - q) < 1e-3 for p, q in zip(near, at))
+
+
+def test_passes_of_a_fit_have_few_tasks(spark, monkeypatch):
+    """Every pass of a fit has a task per piece of the counted inputs, not one per shuffle partition."""
+    rows = spark.createDataFrame([(float(i % 3), float(i % 3) * 5, 30.0 + i % 7, 10.0 + i % 5) for i in range(200)], "Frequency double, Recency double, T double, Monetary double")
+    pieces, found = [], btyd.derivatives
+    monkeypatch.setattr(btyd, "derivatives", lambda data, *more: pieces.append((data.rdd.getNumPartitions(), sorted(map(tuple, data.collect())))) or found(data, *more))
+    monkeypatch.setattr(btyd, "_minimise", lambda evaluate, start, tol: (start, 0.0))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        btyd.fit_purchases(rows)
+        btyd.fit_values(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(pieces) == 2 and all(n <= 8 and sum(r[-1] for r in kept) > 0 for n, kept in pieces)
+    assert sum(r[-1] for r in pieces[0][1]) == 200 and len(pieces[0][1]) == 21
