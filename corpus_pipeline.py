@@ -5,8 +5,8 @@ packing. Each function takes (spark, docs, sf_dir); all but the last return the
 Extra columns pass through to the last stage; an empty table gives no pieces; null texts have no
 language and go in the first stage.
 
-All stages share executors, whose Java heap stays as large as any stage made it. What Arrow holds beside
-the heap and in the Python workers is bounded by ``BATCH_ROWS``.
+All stages share executors, whose Java heap stays as large as any stage made it, so every stage begins with
+a full collection there. What Arrow holds beside the heap and in the Python workers is bounded by ``BATCH_ROWS``.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendcast.llm import exact_dedup, language, ngram_join, packing, suffix_dedup
 from spendcast.llm.catalog import vocabulary
+from spendcast.llm.common import shrink_heaps
 from spendcast.session import materialize
 
 
@@ -22,11 +23,13 @@ from spendcast.session import materialize
 BATCH_ROWS = 1000
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Lower the session's rows per Arrow batch to ``BATCH_ROWS``; a smaller setting stays.
+def bound_memory(spark: SparkSession) -> None:
+    """Hand back what earlier stages left, and lower the session's rows per Arrow batch to ``BATCH_ROWS``.
 
-    It holds until the session ends, since a stage's last table is written after its function returned.
+    A smaller setting stays. It holds until the session ends, since a stage's last table is written after
+    its function returned.
     """
+    shrink_heaps(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -34,25 +37,25 @@ def bound_batches(spark: SparkSession) -> None:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language has a probability below one half, go."""
-    bound_batches(spark)
+    bound_memory(spark)
     return language.confident(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
-    bound_batches(spark)
+    bound_memory(spark)
     return exact_dedup.deduplicated(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest doc_id stays."""
-    bound_batches(spark)
+    bound_memory(spark)
     return ngram_join.representatives(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that also start elsewhere are cut out of the texts."""
-    bound_batches(spark)
+    bound_memory(spark)
     cut = suffix_dedup.cleaned(docs)
     if "n_chars" not in cut.columns:
         return cut
@@ -61,7 +64,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the texts with their token ids (32-bit, little-endian), placed in sequences of 2048 tokens."""
-    bound_batches(spark)
+    bound_memory(spark)
     return packing.pieces(packing.pack(docs, vocabulary("word_bpe_49k.json")), with_ids=True)
 
 

@@ -84,6 +84,17 @@ def release_memory() -> None:
         pass
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Ask the executors' Java machines for a full collection, after which free heap goes back to the system.
+
+    Their heaps otherwise stay as large as the largest stage made them. There are a few tasks for every
+    core, so that each executor is reached, in no particular order.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    collect = F.expr("java_method('java.lang.System', 'gc')")
+    spark.range(0, 2 * cores, 1, 2 * cores).select(collect.alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendcast.llm.common import handing_back, running_total
+from spendcast.llm.common import handing_back, release_memory, running_total
 from spendcast.session import materialize
 
 WINDOW, GRAIN, END_ID = 2048, 512, 1
@@ -110,6 +110,7 @@ class ChunkEncoder:
             self.ranks = rank_encoding(json.load(file))
         self.limit, self.long_run = limit, long_run
         self.known: dict[str, bytes] = {}
+        release_memory()  # the file's text and the tokenizers that the ranks were checked by
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
