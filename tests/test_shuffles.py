@@ -1,0 +1,28 @@
+import re
+
+from spendcast.operators import cleaning
+from spendcast.sources import transactions
+
+
+def test_deduplication_uses_the_shuffle_of_the_join(spark, sf_dir):
+    """Rows joined by invoice are marked and freed of copies where they lie."""
+    raw = transactions.orders_as_transactions(spark, sf_dir)
+    for df in (cleaning.mark(raw), cleaning.clean(raw)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.findall(r"Exchange (?:hash|range)\w+\((\w+)#", plan) == ["Invoice", "_invoice"]
+
+
+def test_invoices_meet_whatever_their_keys(spark, tmp_path):
+    """Null keys match nothing; repeated orders repeat their lines, as a join on the numbers has them."""
+    lines = [(1, 7, 1), (1, 8, 2), (-2, 7, 1), (None, 7, 1), (9, 7, 1), (10, 7, 1)]
+    orders = [(1, 5), (-2, 5), (None, 5), (10, 5), (10, 6)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int").selectExpr(
+        "*", "2.0D l_quantity", "6.0D l_extendedprice", "'N' l_returnflag"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").selectExpr(
+        "*", "timestamp_ntz'2001-01-01 00:00:00' o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = transactions.orders_as_transactions(spark, str(tmp_path))
+    found = sorted(map(tuple, rows.select("Invoice", "StockCode", "Quantity", "Price", "Customer ID", "line_no").collect()))
+    ends = [("1", "7", "5", 1), ("1", "8", "5", 2), ("-2", "7", "5", 1), ("10", "7", "5", 1), ("10", "7", "6", 1)]
+    assert found == sorted((i, s, 2, 3.0, f"{c}.0", n) for i, s, c, n in ends)
