@@ -9,9 +9,11 @@ shingle, a text without words has none and is linked with nothing. Two documents
    first ``n - ceil(PERCENT * n / 100) + 1`` of either, so only these are listed by shingle.
 3. A list's documents are first checked against its smallest one, which settles most of a group of
    near copies in as many checks as it has documents. Lists whose documents are in one component by
-   then are done; in the others every document outside the list's largest component is checked
-   against those of other components. No link between different components is lost, and links
-   inside one cannot change it.
+   then are done. While the others have more pairs than there are entries and a round halves them, the
+   documents outside a list's largest component are checked against a few pivots of it: those of its
+   documents with most links, more of them each round. In the lists left after that every document
+   outside the largest component is checked against those of other components. No link between
+   different components is lost, and links inside one cannot change it.
 4. A check begins with the heads: what they share and what is left behind them must suffice. What
    remains is a T-occurrence search: up to ``BLOCK`` candidates of a query are put in inverted lists
    by the query's shingles, short lists are heap-merged, long ones binary-probed for what the short
@@ -32,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spendcast.llm.common import checked_broadcast, components, drop_table, handing_back, set_aside
 from spendcast.session import materialize
@@ -40,6 +42,9 @@ from spendcast.session import materialize
 WORDS, PERCENT, BLOCK = 5, 80, 256
 #: Most frequent shingles that are sent to every task, and shingles counted at a time in a task.
 FREQUENT, CHUNK = 1 << 20, 2_500_000
+#: Pivots of a component in the first round and how many times as many in each further one; rounds end when the lists
+#: that are left have at most so many pairs for each listed shingle, or more than half of those they had before.
+PIVOTS, MORE, ENOUGH = 32, 4, 1
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,7 +77,9 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     for i in range(length):
         s = s * _FACTOR + h[i : len(h) - length + 1 + i]
         s ^= s >> np.uint64(29)
-    return np.unique(s * np.uint64(0xBF58476D1CE4E5B9))
+    s *= np.uint64(0xBF58476D1CE4E5B9)
+    s.sort()  # several times as fast as np.unique
+    return s[np.r_[True, s[1:] != s[:-1]]]
 
 
 def needed(percent: int, a, b):
@@ -87,10 +94,12 @@ def frequent_shingles(docs: DataFrame, words: int) -> pd.DataFrame:
         pending, size = [], 0
 
         def settle() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(pending), return_counts=True)
+            every = np.sort(np.concatenate(pending))
+            first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]][: len(every)])
+            counts = np.diff(np.r_[first, len(every)])
             many = counts > 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(values[many].view(np.int64)), pa.array(counts[many])], names=["shingle", "n"]
+                [pa.array(every[first[many]].view(np.int64)), pa.array(counts[many])], names=["shingle", "n"]
             )
 
         for batch in batches:
@@ -256,16 +265,21 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).distinct()
     )
     links = materialize(_checked(docs, to_first, one, words, percent))
-    settled = components(links)
-
-    marked = entries.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "shingle", "doc", "n", "at", F.coalesce("component", "doc").alias("own")
-    )
-    several = marked.groupBy("shingle").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high")
-    left = materialize(marked.join(several.select("shingle"), "shingle", "left_semi"))
+    left, lists, pairs = unsettled(entries, links)
+    listed, many = entries.count(), PIVOTS
+    tried = to_first
+    while pairs > ENOUGH * listed:
+        checked = materialize(against_pivots(left, lists, many, percent).join(tried, ["a", "b"], "left_anti"))
+        found = materialize(_checked(docs, checked, one, words, percent))
+        if not found.limit(1).count():
+            break
+        links, tried, before, many = links.union(found), tried.union(checked), pairs, many * MORE
+        drop_table(left)
+        left, lists, pairs = unsettled(entries, links)
+        if 2 * pairs > before:
+            break
     drop_table(entries)
-    weight = left.groupBy("shingle", "own").agg(F.count("*").alias("many"))
-    main = weight.groupBy("shingle").agg(F.max_by("own", F.struct("many", "own")).alias("main"))
+    main = lists.select("shingle", "main")
     outside = left.join(main, "shingle").filter("own != main")
     other = left.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("doc", "n", "at", "own")))
     across = (
@@ -274,7 +288,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .filter(may_link(percent, "n", "at", "other_n", "other_at"))
     )
     pair = across.select(F.greatest("doc", "other_doc").alias("a"), F.least("doc", "other_doc").alias("b")).distinct()
-    rest = materialize(pair.join(to_first, ["a", "b"], "left_anti"))
+    rest = materialize(pair.join(tried, ["a", "b"], "left_anti"))
     linked = components(links.union(materialize(_checked(docs, rest, one, words, percent))))
 
     final = groups.join(linked.withColumnRenamed("node", "doc"), "doc", "left").select(
@@ -286,6 +300,42 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def unsettled(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """What the links leave to compare: entries and lists in several components, and the pairs that these lists have.
+
+    Entries come with ``own``, the document's component; lists (shingle, main) with the one that has most of
+    their documents. Pairs inside a component don't count; a pair counts in every list that has it.
+    """
+    settled = components(links)
+    marked = entries.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "shingle", "doc", "n", "at", F.coalesce("component", "doc").alias("own")
+    )
+    several = marked.groupBy("shingle").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high")
+    left = materialize(marked.join(several.select("shingle"), "shingle", "left_semi"))
+    weight = left.groupBy("shingle", "own").agg(F.count("*").alias("many"))
+    of_list = weight.groupBy("shingle").agg(
+        F.max_by("own", F.struct("many", "own")).alias("main"),
+        ((F.pow(F.sum("many"), 2) - F.sum(F.pow("many", 2))) / 2).alias("pairs"),
+    )
+    lists = materialize(of_list)
+    return left, lists, int(lists.agg(F.sum("pairs")).first()[0] or 0)  # one number
+
+
+def against_pivots(left: DataFrame, lists: DataFrame, many: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of each document outside a list's main component and up to ``many`` documents of that one.
+
+    A component has the same pivots in all lists: its documents with most entries. A document that
+    differs much from the rest of its group has shingles of its own in its head, and thus few.
+    """
+    members = left.groupBy("doc", "n", "own").agg(F.count("*").alias("listed"))
+    place = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("listed"), F.xxhash64("doc"), "doc", "n"))
+    pivots = members.withColumn("place", place).filter(F.col("place") <= many)
+    pivots = pivots.select(F.col("own").alias("main"), F.col("doc").alias("pivot"), F.col("n").alias("size"))
+    outside = left.join(lists, "shingle").filter("own != main").select("doc", "n", "main").distinct()
+    near = outside.join(pivots, "main").filter(percent * F.greatest("n", "size") <= 100 * F.least("n", "size"))
+    return near.select(F.greatest("doc", "pivot").alias("a"), F.least("doc", "pivot").alias("b")).distinct()
+
+
 def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
 

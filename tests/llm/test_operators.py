@@ -153,6 +153,29 @@ def test_chains_of_near_copies_are_one_component(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == wanted
 
 
+def test_groups_of_partly_linked_copies_need_few_checks(spark, monkeypatch):
+    """Many pairs of the group don't link, among them most of those with its smallest doc_id."""
+    rng = random.Random(5)
+    base, texts = prose(rng, 150).split(), []
+    for i in range(150):
+        words = list(base)
+        for k in range(1 + i % 3 if i else 3):
+            words[rng.randrange(5, 145)] = f"w{i}x{k}"
+        texts.append(" ".join(words))
+    rows = [(i, t) for i, t in enumerate([*texts, prose(rng, 150)])]
+    checked, plausible = [], ngram_join.plausible
+
+    def counted(pairs, one, percent):
+        checked.append(pairs.count())
+        return plausible(pairs, one, percent)
+
+    monkeypatch.setattr(ngram_join, "plausible", counted)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 4, raising=False)
+    got = ngram_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows)
+    assert sum(checked) < 20 * len(rows), checked
+
+
 def test_representatives(docs):
     got = ngram_join.representatives(docs.filter("doc_id is not null"))
     labels = plain_components([(r[0], r[1]) for r in awkward() if r[0] is not None])
