@@ -265,22 +265,20 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).distinct()
     )
     links = materialize(_checked(docs, to_first, one, words, percent))
-    left, lists, pairs = unsettled(entries, links)
+    left, pairs = unsettled(entries, links)
     listed, many = entries.count(), PIVOTS
     tried = to_first
     while pairs > ENOUGH * listed:
-        checked = materialize(against_pivots(left, lists, many, percent).join(tried, ["a", "b"], "left_anti"))
+        checked = materialize(against_pivots(left, many, percent).join(tried, ["a", "b"], "left_anti"))
         found = materialize(_checked(docs, checked, one, words, percent))
         if not found.limit(1).count():
             break
         links, tried, before, many = links.union(found), tried.union(checked), pairs, many * MORE
-        drop_table(left)
-        left, lists, pairs = unsettled(entries, links)
+        left, pairs = unsettled(left.select("shingle", "doc", "n", "at"), links)
         if 2 * pairs > before:
             break
     drop_table(entries)
-    main = lists.select("shingle", "main")
-    outside = left.join(main, "shingle").filter("own != main")
+    outside = left.filter("own != main")
     other = left.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("doc", "n", "at", "own")))
     across = (
         outside.join(other, "shingle")
@@ -300,38 +298,38 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
-def unsettled(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """What the links leave to compare: entries and lists in several components, and the pairs that these lists have.
+def unsettled(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
+    """What the links leave to compare: the entries of lists in several components, and how many pairs these lists have.
 
-    Entries come with ``own``, the document's component; lists (shingle, main) with the one that has most of
-    their documents. Pairs inside a component don't count; a pair counts in every list that has it.
+    Entries come with ``own``, the document's component, and ``main``, the one that has most of the list's documents.
+    Pairs inside a component don't count; a pair counts in every list that has it. A list of two was settled by its pivot.
     """
     settled = components(links)
     marked = entries.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
         "shingle", "doc", "n", "at", F.coalesce("component", "doc").alias("own")
     )
-    several = marked.groupBy("shingle").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high")
-    left = materialize(marked.join(several.select("shingle"), "shingle", "left_semi"))
-    weight = left.groupBy("shingle", "own").agg(F.count("*").alias("many"))
+    weight = marked.groupBy("shingle", "own").agg(F.count("*").alias("many"))
     of_list = weight.groupBy("shingle").agg(
         F.max_by("own", F.struct("many", "own")).alias("main"),
+        F.sum("many").alias("total"),
         ((F.pow(F.sum("many"), 2) - F.sum(F.pow("many", 2))) / 2).alias("pairs"),
     )
-    lists = materialize(of_list)
-    return left, lists, int(lists.agg(F.sum("pairs")).first()[0] or 0)  # one number
+    lists = materialize(of_list.filter("pairs > 0 and total > 2").select("shingle", "main", "pairs"))
+    left = materialize(marked.join(lists.select("shingle", "main"), "shingle"))
+    return left, int(lists.agg(F.sum("pairs")).first()[0] or 0)  # one number
 
 
-def against_pivots(left: DataFrame, lists: DataFrame, many: int, percent: int) -> DataFrame:
+def against_pivots(left: DataFrame, many: int, percent: int) -> DataFrame:
     """Pairs (a, b) of each document outside a list's main component and up to ``many`` documents of that one.
 
-    A component has the same pivots in all lists: its documents with most entries. A document that
+    A component has the same pivots in all lists: its documents with most entries there. A document that
     differs much from the rest of its group has shingles of its own in its head, and thus few.
     """
-    members = left.groupBy("doc", "n", "own").agg(F.count("*").alias("listed"))
+    members = left.filter("own = main").groupBy("doc", "n", "own").agg(F.count("*").alias("listed"))
     place = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("listed"), F.xxhash64("doc"), "doc", "n"))
     pivots = members.withColumn("place", place).filter(F.col("place") <= many)
     pivots = pivots.select(F.col("own").alias("main"), F.col("doc").alias("pivot"), F.col("n").alias("size"))
-    outside = left.join(lists, "shingle").filter("own != main").select("doc", "n", "main").distinct()
+    outside = left.filter("own != main").select("doc", "n", "main").distinct()
     near = outside.join(pivots, "main").filter(percent * F.greatest("n", "size") <= 100 * F.least("n", "size"))
     return near.select(F.greatest("doc", "pivot").alias("a"), F.least("doc", "pivot").alias("b")).distinct()
 
