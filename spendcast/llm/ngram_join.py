@@ -255,7 +255,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     gone = rows.select("doc", "print").join(copied, "print").filter("doc > low").select("doc", "print").distinct()
     one = rows.join(checked_broadcast(materialize(gone)), ["doc", "print"], "left_anti").filter("doc is not null")
     listed = one.select("doc", "n", F.posexplode("head").alias("at", "shingle"))
-    shared = listed.groupBy("shingle").agg(F.count("*").alias("many")).filter("many > 1").select("shingle")
+    shared = listed.groupBy("shingle").agg(F.count("*").alias("many")).filter("many > 1")
     entries = materialize(listed.join(shared, "shingle"))
     first = entries.groupBy("shingle").agg(F.min(F.struct("doc", "n", "at")).alias("first"))
     first = first.select("shingle", *(F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc", "n", "at")))
@@ -265,7 +265,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).distinct()
     )
     links = materialize(_checked(docs, to_first, one, words, percent))
-    left, pairs = unsettled(entries, links)
+    left, pairs = unsettled(entries.filter("many > 2"), links)  # a list of two was settled by its pivot
     listed, many = entries.count(), PIVOTS
     tried = to_first
     while pairs > ENOUGH * listed:
@@ -302,7 +302,7 @@ def unsettled(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
     """What the links leave to compare: the entries of lists in several components, and how many pairs these lists have.
 
     Entries come with ``own``, the document's component, and ``main``, the one that has most of the list's documents.
-    Pairs inside a component don't count; a pair counts in every list that has it. A list of two was settled by its pivot.
+    Pairs inside a component don't count; a pair counts in every list that has it.
     """
     settled = components(links)
     marked = entries.join(settled.withColumnRenamed("node", "doc"), "doc", "left").select(
@@ -311,10 +311,9 @@ def unsettled(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
     weight = marked.groupBy("shingle", "own").agg(F.count("*").alias("many"))
     of_list = weight.groupBy("shingle").agg(
         F.max_by("own", F.struct("many", "own")).alias("main"),
-        F.sum("many").alias("total"),
         ((F.pow(F.sum("many"), 2) - F.sum(F.pow("many", 2))) / 2).alias("pairs"),
     )
-    lists = materialize(of_list.filter("pairs > 0 and total > 2").select("shingle", "main", "pairs"))
+    lists = materialize(of_list.filter("pairs > 0").select("shingle", "main", "pairs"))
     left = materialize(marked.join(lists.select("shingle", "main"), "shingle"))
     return left, int(lists.agg(F.sum("pairs")).first()[0] or 0)  # one number
 
