@@ -82,3 +82,25 @@ def test_cuts_leave_equal_shares():
 def test_rows_without_a_number_are_refused(spark, rows):
     with pytest.raises(Exception, match="finite|NaN|Null"):
         trees.GBTRegressor(labelCol="log_target", maxIter=2).fit(rows.withColumn("log_target", F.lit(float("nan"))))
+
+
+def _prepared(rows):
+    from spendcast.plans import catalog, training
+
+    spend = F.when(F.col("up") > 0, F.expm1("log_target")).otherwise(0.0)
+    named = rows.withColumns({"Next_3M_Spend": spend, "log_target": F.log1p(spend), "n": F.monotonically_increasing_id()})
+    table = materialize(named.withColumns({"customer_id": F.col("n").cast("string"), "split": F.when(F.col("n") % 5 == 0, "test").otherwise("train")}).drop("n"))
+    return training.Prepared(table, (1.0, 2.0), {c: 0.5 for c in FEATURE_COLS}, {}, None, None, catalog.WIDE)
+
+
+@pytest.mark.parametrize("name", ["hurdle_predict"])
+def test_queries_train_all_trees(spark, rows, monkeypatch, name):
+    """The published hurdle has 300 trees that classify and 500 that regress; a hundredth of them was trained."""
+    from spendcast.models.hurdle import HurdleRegressor
+    from spendcast.plans import catalog
+
+    data, fitted, fit = _prepared(rows), [], HurdleRegressor._fit
+    monkeypatch.setattr(catalog, "_trained", lambda spark, sf_dir: data)
+    monkeypatch.setattr(HurdleRegressor, "_fit", lambda self, df: fitted.append(fit(self, df)) or fitted[-1])
+    assert not getattr(catalog, name)(spark, "").isEmpty()
+    assert [(m.classifier.getNumTrees, m.regressor.getNumTrees) for m in fitted] == [(300, 500)]
