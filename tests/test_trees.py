@@ -93,7 +93,7 @@ def _prepared(rows):
     return training.Prepared(table, (1.0, 2.0), {c: 0.5 for c in FEATURE_COLS}, {}, None, None, catalog.WIDE)
 
 
-@pytest.mark.parametrize("name", ["feature_importance", "hurdle_predict"])
+@pytest.mark.parametrize("name", ["feature_importance", "hurdle_predict", "single_score"])
 def test_queries_train_all_trees(spark, rows, monkeypatch, name):
     """The published hurdle has 300 trees that classify and 500 that regress; a hundredth of them was trained."""
     from spendcast.models.hurdle import HurdleRegressor
