@@ -104,3 +104,22 @@ def test_queries_train_all_trees(spark, rows, monkeypatch, name):
     monkeypatch.setattr(HurdleRegressor, "_fit", lambda self, df: fitted.append(fit(self, df)) or fitted[-1])
     assert not getattr(catalog, name)(spark, "").isEmpty()
     assert [(m.classifier.getNumTrees, m.regressor.getNumTrees) for m in fitted] == [(300, 500)]
+
+
+def test_the_leaderboard_trains_all_trees(spark, rows, monkeypatch):
+    from spendcast.models import selection
+    from spendcast.plans import catalog
+
+    data, sizes = _prepared(rows), []
+    monkeypatch.setattr(catalog, "_trained", lambda spark, sf_dir: data)
+    monkeypatch.setattr(selection, "_fold_mae", lambda model, *rest: 1.0)
+
+    def fit(model, *rest):
+        parts = [model.classifier, model.regressor] if hasattr(model, "classifier") else [model]
+        sizes.extend(p.getOrDefault(p.getParam(c)) for p in parts for c in ("numTrees", "maxIter") if "Pipeline" not in p.uid and p.hasParam(c))
+        raise RuntimeError("sizes are enough")
+
+    monkeypatch.setattr(selection, "_fit", fit)
+    with pytest.raises(RuntimeError, match="all models failed"):
+        catalog.train_leaderboard(spark, "")
+    assert sorted(sizes) == [300] * 10 + [500] * 2
