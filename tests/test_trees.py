@@ -123,3 +123,16 @@ def test_the_leaderboard_trains_all_trees(spark, rows, monkeypatch):
     with pytest.raises(RuntimeError, match="all models failed"):
         catalog.train_leaderboard(spark, "")
     assert sorted(sizes) == [300] * 10 + [500] * 2
+
+
+def test_a_failed_calibration_is_an_error(rows, monkeypatch):
+    from spendcast.models.hurdle import HurdleRegressor
+    from spendcast.operators import isotonic
+
+    def fails(*rest, **more):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(isotonic, "blocks", fails)
+    model = HurdleRegressor(classifier=trees.GBTClassifier(maxIter=2), regressor=trees.GBTRegressor(maxIter=2), labelCol="log_target")
+    with pytest.raises(RuntimeError, match="lost"):
+        model.fit(rows)
