@@ -154,6 +154,12 @@ def claim_version(spark: SparkSession, path: str, name: str) -> int:
     version = next_version(spark, path, name)
     while True:
         files, file = _claim(spark, path, name, version)
+        if files.getUri().getScheme() == "file":  # Hadoop looks first and creates then; Java does both in one step
+            files.mkdirs(file.getParent())
+            if spark.sparkContext._jvm.java.io.File(file.toUri().getPath()).createNewFile():
+                return version
+            version += 1
+            continue
         try:
             files.create(file, False).close()
             return version
